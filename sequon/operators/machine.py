@@ -216,7 +216,7 @@ def states_before(
     begins = np.concatenate(([True], starts))
     if entry is not None:
         fixed = np.full(states, entry, dtype=np.int8)
-        done[begins] = np.take_along_axis(done[begins], fixed[None, :], axis=1)
+        done[begins] = np.take_along_axis(done[begins], fixed[None, :].astype(np.intp), axis=1)
         if starts[0]:
             done[0] = fixed
     finished = begins | (done == done[:, :1]).all(axis=1)

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StatefulProcessor
 from sequon.model import has_key
 from sequon.operators.sequence import MATCHED, TIMED_OUT, Pattern
 from sequon.streaming.folders import keep_state_on_disk
+from sequon.streaming.kept import plain, typed
 
 _SALT, _AT, _TIE, _FIRST, _SECOND = "salt", "at", "tie", "is_first", "is_second"
 _MICRO = timedelta(microseconds=1)
@@ -62,7 +63,7 @@ def match_stream(
         F.col(tie).alias(_TIE),
         first.alias(_FIRST),
         second.alias(_SECOND),
-        *[_plain(df, c).alias(f"kept{i}") for i, c in enumerate(keep)],
+        *[plain(df, c).alias(f"kept{i}") for i, c in enumerate(keep)],
         F.col(ts).alias("time"),
     )
     kept = T.StructType([flat.schema[f"kept{i}"] for i in range(len(keep))])
@@ -82,7 +83,7 @@ def match_stream(
     )
 
     def rows(step: str) -> Column:
-        values = [_typed(df, c, F.col(step)[f"kept{i}"]).alias(c) for i, c in enumerate(keep)]
+        values = [typed(df, c, F.col(step)[f"kept{i}"]).alias(c) for i, c in enumerate(keep)]
         return F.when(F.col(step).isNotNull(), F.struct(*values))
 
     return found.select(
@@ -93,21 +94,6 @@ def match_stream(
     )
 
 
-def _plain(df: DataFrame, name: str) -> Column:
-    """A column as state holds it: times as microseconds, free of time zones."""
-    if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(name).cast("timestamp"))
-    return F.col(name)
-
-
-def _typed(df: DataFrame, name: str, value: Column) -> Column:
-    """Undo :func:`_plain`."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.timestamp_micros(value).cast(kind)
-    return value
-
-
 class FollowedBy(StatefulProcessor):
     """Steps of one key: those the watermark has not reached, and open first steps.
 
