@@ -34,7 +34,7 @@ from sequon.operators.machine import (  # noqa: E402
 from sequon.operators.runs import run_alerts, run_lengths  # noqa: E402
 from sequon.operators.sequence import Pattern, Step, as_map, by_status, match, step_row  # noqa: E402
 from sequon.operators.words import word_count  # noqa: E402
-from sequon.plans.segments import SEGMENT_ROWS  # noqa: E402
+from sequon.plans.segments import SEGMENT_ROWS, plan_segments  # noqa: E402
 from sequon.sources.lines import parse_lines, parse_or_quarantine  # noqa: E402
 from sequon.sources.sinks import labelled, read_output, write_outputs  # noqa: E402
 from sequon.sources.tables import arriving, table  # noqa: E402
@@ -52,10 +52,14 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events")
 
 
-def _hot_events(spark: SparkSession, folder: str) -> DataFrame:
+def _hot(events: DataFrame) -> DataFrame:
     """The same events with a third of them under one key."""
     user = F.when(F.col("user_id") % 3 == 0, -1).otherwise(F.col("user_id"))
-    return _events(spark, folder).withColumn("user_id", user)
+    return events.withColumn("user_id", user)
+
+
+def _hot_events(spark: SparkSession, folder: str) -> DataFrame:
+    return _hot(_events(spark, folder))
 
 
 def _cut(events: DataFrame) -> int:
@@ -338,20 +342,26 @@ def _run_outputs(spark: SparkSession, rows: DataFrame, by: str) -> str:
     return f"{folder}/out"
 
 
-def _stream_matches(spark: SparkSession, folder: str, **options) -> DataFrame:
+def _stream_matches(stream: DataFrame, **options) -> DataFrame:
     keep = ["event_id", "user_id", "ts"]
-    return match_stream(
-        _event_stream(spark, folder), _purchase(), USER, "ts", "event_id", keep, **options
-    )
+    return match_stream(stream, _purchase(), USER, "ts", "event_id", keep, **options)
 
 
 def _stream_pattern(spark: SparkSession, folder: str) -> DataFrame:
-    out = _run_outputs(spark, _stream_matches(spark, folder, salts=2), "status")
+    out = _run_outputs(spark, _stream_matches(_event_stream(spark, folder)), "status")
+    return _outcome(spark.read.parquet(out))
+
+
+def _stream_pattern_hot_key(spark: SparkSession, folder: str) -> DataFrame:
+    past = _hot_events(spark, folder)
+    segments = plan_segments(past, USER, ORDER, _cut(past))
+    stream = _hot(_event_stream(spark, folder))
+    out = _run_outputs(spark, _stream_matches(stream, segments=segments), "status")
     return _outcome(spark.read.parquet(out))
 
 
 def _stream_timeout(spark: SparkSession, folder: str) -> DataFrame:
-    out = _run_outputs(spark, _stream_matches(spark, folder), "status")
+    out = _run_outputs(spark, _stream_matches(_event_stream(spark, folder)), "status")
     create = F.col("create")
     return read_output(spark, out, "timeout").select(
         create["event_id"].alias("create_id"),
@@ -406,6 +416,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fsm_hot_key": _fsm_hot_key,
         "word_count": _word_count,
         "stream_pattern": _stream_pattern,
+        "stream_pattern_hot_key": _stream_pattern_hot_key,
         "stream_timeout": _stream_timeout,
         "stream_run_alert": _stream_run_alert,
     }
@@ -490,8 +501,11 @@ FROM events WHERE event_type IN ('error', 'view', 'click')"""
 # What a stream has seen for certain when it ends: all up to a millisecond before
 # the latest time.
 _SEEN = "(SELECT (epoch_us(max(ts)) // 1000 - 1) * 1000 FROM events)"
-_CLOSED = f"""
-SELECT * FROM ({_pattern_sql()})
+
+
+def _closed_sql(events: str = "events") -> str:
+    return f"""
+SELECT * FROM ({_pattern_sql(events)})
 WHERE coalesce(second_us, first_us + 86400000000) <= {_SEEN}"""
 
 
@@ -575,9 +589,10 @@ FROM events""",
 SELECT word, count(*) AS n
 FROM (SELECT unnest(regexp_split_to_array(text, '\s+')) AS word FROM documents)
 WHERE word <> '' GROUP BY word""",
-        "stream_pattern": _CLOSED,
+        "stream_pattern": _closed_sql(),
+        "stream_pattern_hot_key": _closed_sql(_HOT),
         "stream_timeout": f"""
 SELECT event_id AS create_id, {timeout_text_sql} AS text
-FROM ({_CLOSED}) WHERE status = 'timeout'""",
+FROM ({_closed_sql()}) WHERE status = 'timeout'""",
         "stream_run_alert": _RUN_TEXT,
     }

@@ -77,6 +77,10 @@ class Segments:
             *self.keys, F.explode(F.sequence(F.lit(0), F.size(_CUTS))).alias(SEGMENT)
         )
 
+    def parts(self) -> DataFrame:
+        """Every hot key and how many segments it has."""
+        return self.cuts.select(*self.keys, (F.size(_CUTS) + 1).alias("parts"))
+
     def _search(self) -> Column:
         """Number of cuts at or before the row, by binary search."""
         row = F.struct(*self.order)

@@ -12,11 +12,14 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from sequon.model import has_key
 from sequon.operators.sequence import MATCHED, TIMED_OUT, Pattern
+from sequon.plans.segments import Segments
 from sequon.streaming.folders import keep_state_on_disk
 from sequon.streaming.kept import plain, typed
 
 _SALT, _AT, _TIE, _FIRST, _SECOND = "salt", "at", "tie", "is_first", "is_second"
 _MICRO = timedelta(microseconds=1)
+# Most tasks the first steps of a hot key are dealt out to.
+MAX_SALTS = 64
 
 
 def match_stream(
@@ -28,7 +31,7 @@ def match_stream(
     keep: Sequence[str] | None = None,
     delay: str = "1 millisecond",
     buffered: bool = True,
-    salts: int = 1,
+    segments: Segments | None = None,
 ) -> DataFrame:
     """As the batch operator, one row per first step, once its outcome is certain.
 
@@ -37,8 +40,9 @@ def match_stream(
     order. For input in time order ``buffered=False`` takes them as they arrive
     instead. Matches still open when the stream ends are not reported.
 
-    With ``salts`` above 1, the first steps of a key are dealt out to that many
-    tasks, each of which sees all second steps of the key.
+    ``segments``, planned on past rows of the stream, names the hot keys. The first
+    steps of a hot key are dealt out to as many tasks as it has segments, at most
+    ``MAX_SALTS``, each of which sees all second steps of that key.
     """
     keep_state_on_disk(df.sparkSession)
     keep = list(keep) if keep is not None else df.columns
@@ -49,13 +53,9 @@ def match_stream(
     steps = df.withWatermark(ts, delay).where(F.when(F.col(ts).isNotNull(), is_step))
     first, second = F.coalesce(is_first, F.lit(False)), F.coalesce(is_second, F.lit(False))
     salt = F.lit(0)
-    if salts > 1:
-        mine = F.pmod(F.xxhash64(tie), F.lit(salts)).cast("int")
-        everywhere = F.sequence(F.lit(0), F.lit(salts - 1))
-        steps = steps.withColumn("__salt", F.explode(F.when(second, everywhere).otherwise(F.array(mine))))
-        salt = F.col("__salt")
-        # A row that is both steps goes everywhere but starts a match in one task.
-        first = first & (salt == mine)
+    if segments is not None and segments.split:
+        salted, salt, starts_here = _dealt(steps, segments, list(keys), tie, second)
+        steps, first = salted, first & starts_here
     flat = steps.select(
         *[F.col(k).alias(f"key{i}") for i, k in enumerate(keys)],
         salt.alias(_SALT),
@@ -94,6 +94,22 @@ def match_stream(
     )
 
 
+def _dealt(
+    steps: DataFrame, segments: Segments, keys: list[str], tie: str, second: Column
+) -> tuple[DataFrame, Column, Column]:
+    """Rows with the tasks of their key they go to, that task, and whether the row may
+    start a match there.
+
+    A row that is both steps goes everywhere but starts its match in one task.
+    """
+    parts = F.broadcast(segments.parts().withColumnRenamed("parts", "__parts"))
+    parted = steps.join(parts, keys, "left")
+    tasks = F.least(F.coalesce("__parts", F.lit(1)), F.lit(MAX_SALTS))
+    mine = F.pmod(F.xxhash64(tie), tasks).cast("int")
+    to = F.when(second, F.sequence(F.lit(0), tasks - 1)).otherwise(F.array(mine))
+    return parted.withColumn("__salt", F.explode(to)), F.col("__salt"), F.col("__salt") == mine
+
+
 class FollowedBy(StatefulProcessor):
     """Steps of one key: those the watermark has not reached, and open first steps.
 
