@@ -33,7 +33,8 @@ def machine_stream(
 
     Within a micro-batch the rows of a key are taken in ``order``; a row that arrives
     in a later micro-batch comes later. The state of a key is kept for ever, or for
-    ``ttl_ms`` after its last change.
+    ``ttl_ms`` after its last row; with a limit the query keeps looking for expired
+    state, so it does not end by itself even under an available-now trigger.
 
     The rows of a micro-batch are range-partitioned, which deals a hot key out to
     many tasks. Each task reduces its stretch of a key to one function from state to

@@ -1,0 +1,244 @@
+"""Streams against tables on the same rows, over many micro-batches."""
+
+import os
+import random
+import time
+from datetime import datetime, timedelta, timezone
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from sequon.functions.alerts import paid_text, timeout_text
+from sequon.operators.machine import machine_alerts
+from sequon.operators.sequence import Pattern, Step, match
+from sequon.plans.segments import plan_segments
+from sequon.sources.sinks import read_output, write_outputs
+from sequon.sources.tables import arriving
+from sequon.streaming.machine import machine_stream
+from sequon.streaming.sequence import match_stream
+from test_golden import ORDERS
+from test_machine import ALERT, TURNSTILE
+
+START = datetime(2024, 1, 1, tzinfo=timezone.utc)
+SCHEMA = "key string, at timestamp, tie int, kind string"
+ARROW = pa.schema(
+    [("key", pa.string()), ("at", pa.timestamp("us", "UTC")), ("tie", pa.int32()), ("kind", pa.string())]
+)
+
+
+def add_files(folder, batches, begin=0):
+    """One file per batch of rows (key, milliseconds, tie, kind), in this order."""
+    folder.mkdir(exist_ok=True)
+    for i, rows in enumerate(batches, begin):
+        rows = [
+            dict(key=k, at=START + timedelta(milliseconds=ms), tie=t, kind=kind)
+            for k, ms, t, kind in rows
+        ]
+        path = folder / f"{i:04}.parquet"
+        pq.write_table(pa.Table.from_pylist(rows, ARROW), path)
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+
+
+def paying(inclusive=False):
+    kind = F.col("kind")
+    return Pattern(
+        Step("create", kind == "create"),
+        Step("pay", kind == "pay"),
+        timedelta(minutes=15),
+        inclusive,
+    )
+
+
+def stream(spark, folder):
+    return arriving(spark, str(folder), spark.createDataFrame([], SCHEMA).schema, 1)
+
+
+def finish(query):
+    query.awaitTermination()
+    return query
+
+
+def matches(spark, tmp_path, inclusive=False, **options):
+    found = match_stream(
+        stream(spark, tmp_path / "in"), paying(inclusive), ["key"], "at", "tie", ["tie", "at"], **options
+    )
+    finish(write_outputs(found, str(tmp_path / "out"), str(tmp_path / "progress")))
+    return outcomes(spark.read.parquet(str(tmp_path / "out")))
+
+
+def outcomes(found):
+    return sorted(
+        (r.key, r.create.tie, r.create.at, *((r.pay.tie, r.pay.at) if r.pay else (-1, None)), r.status)
+        for r in found.collect()
+    )
+
+
+def in_table(spark, tmp_path, inclusive=False):
+    rows = spark.read.schema(SCHEMA).parquet(str(tmp_path / "in"))
+    return outcomes(match(rows, paying(inclusive), ["key"], "at", "tie", ["tie", "at"]))
+
+
+def closing(ms, tie=10**6):
+    return [("closing", ms, tie, "modify")]
+
+
+def test_orders(spark, tmp_path):
+    rows = [(order, ms, ms, kind) for _, order, kind, ms in ORDERS]
+    add_files(tmp_path / "in", [[r] for r in rows] + [closing(10**7)])
+    matches(spark, tmp_path)
+    out = str(tmp_path / "out")
+    paid = read_output(spark, out, "payed").select(paid_text("key").alias("text"))
+    late = read_output(spark, out, "timeout").select(timeout_text("key", F.lit("user_2")).alias("text"))
+    assert sorted(r.text for r in paid.collect()) == ["订单 order_1 已支付！", "订单 order_3 已支付！"]
+    assert [r.text for r in late.collect()] == ["订单 order_2 超时未支付！用户为：user_2"]
+
+
+@pytest.mark.parametrize("inclusive", [False, True])
+def test_edges(spark, tmp_path, inclusive):
+    rows = [
+        ("bound", 600_000, 1, "create"),
+        ("two", 600_000, 1, "create"),
+        ("two", 600_001, 2, "create"),
+        ("first", 600_000, 1, "create"),
+        ("alone", 600_000, 1, "pay"),
+        ("null", 600_000, 1, "create"),
+        ("null", 610_000, 2, None),
+        ("two", 660_000, 3, "pay"),
+        ("first", 660_000, 2, "pay"),
+        ("first", 670_000, 3, "pay"),
+        ("null", 670_000, 3, "pay"),
+        ("tie", 700_000, 2, "create"),
+        ("tie", 700_000, 1, "pay"),
+        ("same", 700_000, 1, "create"),
+        ("same", 700_000, 2, "pay"),
+        ("bound", 1_500_000, 2, "pay"),
+        (None, 1_500_000, 2, "create"),
+    ]
+    add_files(tmp_path / "in", [rows[:6], rows[6:9], rows[9:], closing(10**7)])
+    found = matches(spark, tmp_path, inclusive)
+    assert found == in_table(spark, tmp_path, inclusive)
+    assert {r[0]: r[-1] for r in found}["bound"] == ("payed" if inclusive else "timeout")
+
+
+def disorder(seed, late_ms=5000, keys="abcdef"):
+    """Batches in which a row arrives up to ``late_ms`` after rows later than it."""
+    dice = random.Random(seed)
+    rows = [
+        (dice.choice(["hot", "hot", "hot", *keys]), dice.randrange(0, 6_000_000), i, dice.choice(["create", "pay", "modify", None]))
+        for i in range(600)
+    ]
+    # Pairs close to one another in time, so that disorder matters.
+    rows += [
+        (key, ms + dice.randrange(0, 4000), 1000 + tie, dice.choice(["create", "pay"]))
+        for key, ms, tie, _ in rows[:400]
+    ]
+    rows.sort(key=lambda r: r[1] + dice.randrange(0, late_ms))
+    return [rows[i : i + 200] for i in range(0, len(rows), 200)] + [closing(10**8)]
+
+
+@pytest.mark.parametrize("salted", [False, True])
+def test_disorder(spark, tmp_path, salted):
+    add_files(tmp_path / "in", disorder(1))
+    segments = None
+    if salted:
+        past = spark.read.schema(SCHEMA).parquet(str(tmp_path / "in"))
+        segments = plan_segments(past, ["key"], ["at", "tie"], segment_rows=100)
+        assert segments.split
+    found = matches(spark, tmp_path, delay="5001 milliseconds", segments=segments)
+    expected = in_table(spark, tmp_path)
+    assert len(expected) > 300 and {r[-1] for r in expected} == {"payed", "timeout"}
+    assert found == expected
+
+
+def test_on_arrival(spark, tmp_path):
+    rows = sorted((r for batch in disorder(2)[:-1] for r in batch), key=lambda r: (r[1], r[2]))
+    add_files(tmp_path / "in", [rows[:300], rows[300:700], rows[700:], closing(10**8)])
+    assert matches(spark, tmp_path, buffered=False) == in_table(spark, tmp_path)
+
+
+def test_restart(spark, tmp_path):
+    """State, timers and output carry on where an earlier run of the query stopped."""
+    batches = disorder(3)
+    add_files(tmp_path / "in", batches[:3])
+    before = matches(spark, tmp_path, delay="5001 milliseconds")
+    add_files(tmp_path / "in", batches[3:], begin=3)
+    after = matches(spark, tmp_path, delay="5001 milliseconds")
+    assert 0 < len(before) < len(after)
+    assert after == in_table(spark, tmp_path)
+
+
+def test_late_rows(spark, tmp_path):
+    """A row behind the watermark is kept for one micro-batch and dropped after."""
+    batches = [
+        [("x", 60_000, 1, "modify")],
+        [("kept", 59_999, 2, "create"), ("kept", 60_000, 3, "create")],
+        [("gone", 59_999, 4, "create"), ("kept", 60_000, 5, "create")],
+        closing(10**7),
+    ]
+    add_files(tmp_path / "in", batches)
+    assert [r[1] for r in matches(spark, tmp_path)] == [2, 3, 5]
+
+
+def shuffled(machine):
+    """Batches whose rows come in no order, though batch after batch does."""
+    dice = random.Random(5)
+    kinds = [*machine.events, machine.events[0], "other", None]
+    rows = [
+        (dice.choice(["hot", "hot", *"abc", None]), i * 1000, i, dice.choice(kinds)) for i in range(400)
+    ]
+    batches = [rows[i : i + 100] for i in range(0, 400, 100)]
+    for batch in batches:
+        dice.shuffle(batch)
+    return batches
+
+
+def machine_alerts_of(spark, tmp_path, machine, **options):
+    found = machine_stream(
+        stream(spark, tmp_path / "in"),
+        machine,
+        ["key"],
+        ["at", "tie"],
+        F.col("kind"),
+        keep=["tie", "at"],
+        **options,
+    )
+    return found.withColumn("label", F.lit("warning"))
+
+
+def same_alerts(spark, tmp_path, machine):
+    found = read_output(spark, str(tmp_path / "out"), "warning", "label")
+    table = spark.read.schema(SCHEMA).parquet(str(tmp_path / "in"))
+    expected = machine_alerts(table, machine, ["key"], ["at", "tie"], F.col("kind"))
+    rows = sorted(map(tuple, found.select("key", "tie", "at").collect()))
+    assert rows == sorted(map(tuple, expected.select("key", "tie", "at").collect()))
+    assert len(rows) > 5
+
+
+@pytest.mark.parametrize("machine", [ALERT, TURNSTILE])
+def test_machine(spark, tmp_path, machine):
+    add_files(tmp_path / "in", shuffled(machine))
+    alerts = machine_alerts_of(spark, tmp_path, machine)
+    finish(write_outputs(alerts, str(tmp_path / "out"), str(tmp_path / "progress"), "label"))
+    same_alerts(spark, tmp_path, machine)
+
+
+def test_machine_with_expiry(spark, tmp_path):
+    """Such a query never ends by itself."""
+    add_files(tmp_path / "in", shuffled(ALERT))
+    alerts = machine_alerts_of(spark, tmp_path, ALERT, ttl_ms=10**9)
+    query = (
+        alerts.writeStream.format("parquet")
+        .partitionBy("label")
+        .option("checkpointLocation", str(tmp_path / "progress"))
+        .start(str(tmp_path / "out"))
+    )
+    try:
+        until = time.monotonic() + 60
+        while sum(p.numInputRows > 0 for p in query.recentProgress) < 4:
+            assert query.isActive and time.monotonic() < until
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    same_alerts(spark, tmp_path, ALERT)
