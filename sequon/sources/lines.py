@@ -16,7 +16,8 @@ _WHOLE = r"^[+-]?[0-9]+\z"
 
 def parse_lines(df: DataFrame, line: str = "value") -> DataFrame:
     """Records; the first bad line fails the query."""
-    fields = F.split(line, ",")
+    # The fourth piece is all the rest.
+    fields = F.split(line, ",", 4)
 
     def number(at: int, kind: str) -> Column:
         # Short lines fail on the index, numbers out of range on the cast.
@@ -31,7 +32,8 @@ def parse_lines(df: DataFrame, line: str = "value") -> DataFrame:
 
 def parse_or_quarantine(df: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
     """Records of the good lines, and the bad lines as they were."""
-    fields = F.split(line, ",")
+    # The fourth piece is all the rest.
+    fields = F.split(line, ",", 4)
 
     def number(at: int, kind: str) -> Column:
         field = F.get(fields, F.lit(at))

@@ -6,7 +6,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +15,7 @@ from sequon.model import has_key
 from sequon.operators.machine import Machine, states_before
 from sequon.streaming.folders import keep_state_on_disk
 from sequon.streaming.kept import plain, typed
+from sequon.streaming.stretches import reduce_stretches
 
 _SYMBOL, _AT, _WHEN, _MOVES = "symbol", "at", "when", "moves"
 
@@ -36,9 +36,8 @@ def machine_stream(
     ``ttl_ms`` after its last row; with a limit the query keeps looking for expired
     state, so it does not end by itself even under an available-now trigger.
 
-    The rows of a micro-batch are range-partitioned, which deals a hot key out to
-    many tasks. Each task reduces its stretch of a key to one function from state to
-    state and the rows that some state would report. Only those reach the task that
+    Within a range partition, the rows of a key are reduced to one function from state
+    to state and the rows that some state would report. Only those reach the task that
     holds the state of the key.
     """
     keep_state_on_disk(df.sparkSession)
@@ -62,25 +61,17 @@ def machine_stream(
         ]
     )
     moves, reports = machine.table()
-    sort_by = [(n, "ascending") for n in (*key_names, *order_names)]
 
-    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filled = [b for b in batches if b.num_rows]
-        if filled:
-            rows = pa.Table.from_batches(filled).sort_by(sort_by)
-            yield from reduced(rows, moves, reports, key_names, order_names, kept_names)
+    def reduce(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        return reduced(rows, starts, moves, reports, key_names, order_names, kept_names)
 
-    ranged = flat.repartitionByRange(*key_names, *order_names)
+    stretches = reduce_stretches(flat, key_names, order_names, pieces, reduce)
     out = T.StructType([fields[n] for n in (*key_names, *kept_names)])
-    alerts = (
-        ranged.mapInArrow(reduce, pieces)
-        .groupBy(*key_names)
-        .transformWithState(
-            KeptState(out, order_names, ttl_ms),
-            out,
-            outputMode="Append",
-            timeMode="None" if ttl_ms is None else "ProcessingTime",
-        )
+    alerts = stretches.groupBy(*key_names).transformWithState(
+        KeptState(out, order_names, ttl_ms),
+        out,
+        outputMode="Append",
+        timeMode="None" if ttl_ms is None else "ProcessingTime",
     )
     return alerts.select(
         *[F.col(n).alias(c) for c, n in zip(keys, key_names)],
@@ -90,6 +81,7 @@ def machine_stream(
 
 def reduced(
     rows: pa.Table,
+    starts: np.ndarray,
     moves: np.ndarray,
     reports: np.ndarray,
     keys: Sequence[str],
@@ -102,18 +94,12 @@ def reduced(
     ``when`` true for those states, then a row with its ``moves``. All carry the
     order of the first event of the stretch.
     """
-    size = rows.num_rows
-    starts = np.zeros(size, dtype=bool)
-    for name in keys:
-        column = rows.column(name)
-        starts[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
-    starts[0] = True
     symbol = rows.column(_SYMBOL).to_numpy()
     step, states = moves[symbol], moves.shape[1]
     before, _ = states_before(step, starts, np.arange(states, dtype=np.int8), None)
     when = np.take_along_axis(reports[symbol], before.astype(np.intp), axis=1)
     first = np.flatnonzero(starts)
-    last = np.append(first[1:], size) - 1
+    last = np.append(first[1:], rows.num_rows) - 1
     reported = np.flatnonzero(when.any(axis=1))
     stretch = np.cumsum(starts)[reported] - 1
 

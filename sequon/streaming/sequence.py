@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,11 +17,16 @@ from sequon.operators.sequence import MATCHED, TIMED_OUT, Pattern
 from sequon.plans.segments import Segments
 from sequon.streaming.folders import keep_state_on_disk
 from sequon.streaming.kept import plain, typed
+from sequon.streaming.stretches import reduce_stretches
 
 _SALT, _AT, _TIE, _FIRST, _SECOND = "salt", "at", "tie", "is_first", "is_second"
+_STATUS = "status"
 _MICRO = timedelta(microseconds=1)
-# Most tasks the first steps of a hot key are dealt out to.
-MAX_SALTS = 64
+# Most tasks the first steps of a hot key are dealt out to; its second steps are
+# copied to each.
+MAX_SALTS = 8
+# Tasks that pass on the settled matches of one key.
+_SPREAD = 64
 
 
 def match_stream(
@@ -35,14 +42,16 @@ def match_stream(
 ) -> DataFrame:
     """As the batch operator, one row per first step, once its outcome is certain.
 
-    ``ts`` must be a timestamp with time zone. Steps wait until the watermark,
-    ``delay`` behind the latest time, has passed them and are then taken in time
-    order. For input in time order ``buffered=False`` takes them as they arrive
-    instead. Matches still open when the stream ends are not reported.
+    ``ts`` must be a timestamp with time zone. By default steps wait until the
+    watermark, ``delay`` behind the latest time, has passed them and are then taken in
+    time order. With ``segments``, planned on past rows of the stream, the first steps
+    of a hot key are dealt out to several tasks.
 
-    ``segments``, planned on past rows of the stream, names the hot keys. The first
-    steps of a hot key are dealt out to as many tasks as it has segments, at most
-    ``MAX_SALTS``, each of which sees all second steps of that key.
+    Where each micro-batch holds later times than the one before, ``buffered=False``
+    takes steps as they come. Range partitions then settle the matches within them, and
+    only the first second step and the first steps left open reach the state of a key.
+
+    Matches still open when the stream ends are not reported.
     """
     keep_state_on_disk(df.sparkSession)
     keep = list(keep) if keep is not None else df.columns
@@ -53,14 +62,14 @@ def match_stream(
     steps = df.withWatermark(ts, delay).where(F.when(F.col(ts).isNotNull(), is_step))
     first, second = F.coalesce(is_first, F.lit(False)), F.coalesce(is_second, F.lit(False))
     salt = F.lit(0)
-    if segments is not None and segments.split:
+    if buffered and segments is not None and segments.split:
         salted, salt, starts_here = _dealt(steps, segments, list(keys), tie, second)
         steps, first = salted, first & starts_here
     flat = steps.select(
         *[F.col(k).alias(f"key{i}") for i, k in enumerate(keys)],
         salt.alias(_SALT),
         F.unix_micros(ts).alias(_AT),
-        F.col(tie).alias(_TIE),
+        plain(df, tie).alias(_TIE),
         first.alias(_FIRST),
         second.alias(_SECOND),
         *[plain(df, c).alias(f"kept{i}") for i, c in enumerate(keep)],
@@ -77,8 +86,14 @@ def match_stream(
             T.StructField("status", T.StringType()),
         ]
     )
-    processor = FollowedBy(held, out, pattern.within // _MICRO, pattern.inclusive, buffered)
-    found = flat.groupBy(*[g.name for g in groups], _SALT).transformWithState(
+    # Times are whole microseconds, so a match may be at most this long.
+    within = pattern.within // _MICRO
+    longest = within if pattern.inclusive else within - 1
+    names = [g.name for g in groups]
+    if not buffered:
+        flat = _settled(flat, names, kept, longest)
+    processor = FollowedBy(held, out, within, longest, buffered)
+    found = flat.groupBy(*names, _SALT).transformWithState(
         processor, out, outputMode="Append", timeMode="EventTime"
     )
 
@@ -110,6 +125,60 @@ def _dealt(
     return parted.withColumn("__salt", F.explode(to)), F.col("__salt"), F.col("__salt") == mine
 
 
+def _settled(flat: DataFrame, keys: list[str], kept: T.StructType, longest: int) -> DataFrame:
+    """Matches settled within a range partition, spread over tasks, and the steps that
+    concern earlier or later rows."""
+    nexts = [T.StructField(f"next{i}", f.dataType) for i, f in enumerate(kept)]
+    names = [*keys, _SALT, _AT, _TIE, _FIRST, _SECOND, *kept.names]
+    schema = T.StructType([T.StructField(n, flat.schema[n].dataType) for n in names])
+    schema = T.StructType([*schema, *nexts, T.StructField(_STATUS, T.StringType())])
+
+    def reduce(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        return settle(rows, starts, keys, kept.names, longest)
+
+    return reduce_stretches(flat.drop("time"), keys, [_AT, _TIE], schema, reduce)
+
+
+def settle(
+    rows: pa.Table, starts: np.ndarray, keys: Sequence[str], kept: Sequence[str], longest: int
+) -> Iterator[pa.RecordBatch]:
+    """Settled matches, with a status and the second step if in time; then, as steps,
+    the first second step of each stretch and the first steps after the last."""
+    is_first, is_second = (rows.column(c).to_numpy() for c in (_FIRST, _SECOND))
+    at, size = rows.column(_AT).to_numpy(), rows.num_rows
+    stretch = np.cumsum(starts) - 1
+    ends = np.append(np.flatnonzero(starts)[1:], size)[stretch]
+    seconds = np.flatnonzero(is_second)
+    # The next second step, or a place behind the last row.
+    after = np.append(seconds, size)[np.searchsorted(seconds, np.arange(size), side="right")]
+    closed = np.flatnonzero(is_first & (after < ends))
+    in_time = at[after[closed]] - at[closed] <= longest
+    is_head = np.zeros(size, dtype=bool)
+    is_head[seconds[np.diff(stretch[seconds], prepend=-1) > 0]] = True
+    is_open = is_first & (after >= ends)
+    left = np.flatnonzero(is_head | is_open)
+
+    def taken(names: Sequence[str], places: np.ndarray, mask: np.ndarray | None = None) -> list:
+        return [rows.column(n).take(pa.array(places, mask=mask)) for n in names]
+
+    nexts = [f"next{i}" for i in range(len(kept))]
+    names = [*keys, _SALT, _AT, _TIE, _FIRST, _SECOND, *kept, *nexts, _STATUS]
+    if len(closed):
+        columns = taken(keys, closed)
+        columns += [pa.array((1 + closed % _SPREAD).astype(np.int32))]
+        columns += taken([_AT, _TIE, _FIRST, _SECOND, *kept], closed)
+        columns += taken(kept, after[closed], ~in_time)
+        columns += [pa.array(np.where(in_time, MATCHED, TIMED_OUT).tolist())]
+        yield from pa.table(columns, names=names).to_batches()
+    if len(left):
+        columns = taken([*keys, _SALT, _AT, _TIE], left)
+        columns += [pa.array(is_open[left]), pa.array(is_head[left])]
+        columns += taken(kept, left)
+        columns += [pa.nulls(len(left), rows.schema.field(n).type) for n in kept]
+        columns += [pa.nulls(len(left), pa.string())]
+        yield from pa.table(columns, names=names).to_batches()
+
+
 class FollowedBy(StatefulProcessor):
     """Steps of one key: those the watermark has not reached, and open first steps.
 
@@ -118,16 +187,10 @@ class FollowedBy(StatefulProcessor):
     """
 
     def __init__(
-        self,
-        held: T.StructType,
-        out: T.StructType,
-        within: int,
-        inclusive: bool,
-        buffered: bool,
+        self, held: T.StructType, out: T.StructType, within: int, longest: int, buffered: bool
     ):
         self.held, self.result, self.buffered = held, Row(*out.names), buffered
-        # Times are whole microseconds, so a match may be at most this long.
-        self.within, self.longest = within, within if inclusive else within - 1
+        self.within, self.longest = within, longest
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -137,14 +200,25 @@ class FollowedBy(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         fields = self.held.names
-        steps = [tuple(row[f] for f in fields) for row in rows]
         if self.buffered:
+            steps = [tuple(row[f] for f in fields) for row in rows]
             self.waiting.appendList(steps)
             self._wake(min(s[0] for s in steps))
             return
-        still_open, done = self._take(key, list(self.open.get()), sorted(steps, key=_in_order))
-        self._keep_open(still_open)
-        yield from done
+        steps = []
+        for row in rows:
+            step = tuple(row[f] for f in fields)
+            if row[_STATUS] is None:
+                steps.append(step)
+            else:
+                matched = row[_STATUS] == MATCHED
+                second = tuple(row[f"next{i}"] for i in range(len(step) - 4)) if matched else None
+                yield self.result(*key[:-1], step[4:], second, row[_STATUS])
+        if steps:
+            still_open = list(self.open.get())
+            still_open, done = self._take(key, still_open, sorted(steps, key=_in_order))
+            self._keep_open(still_open)
+            yield from done
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.due.clear()

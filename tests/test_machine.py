@@ -18,6 +18,7 @@ from sequon.operators.machine import (
 )
 from sequon.operators.runs import run_alerts, run_lengths
 from sequon.streaming.machine import reduced
+from sequon.streaming.stretches import stretch_starts
 
 SCHEMA = "key string, place int, kind string"
 ALERT = run_alert_machine("fail", "success")
@@ -189,7 +190,9 @@ def test_reduced_stretches():
                 "symbol": pa.array([r[2] for r in rows], pa.int32()),
             }
         )
-        for out in reduced(batch, moves, reports, ["key0"], ["order0"], ["kept0"]):
+        for out in reduced(
+            batch, stretch_starts(batch, ["key0"]), moves, reports, ["key0"], ["order0"], ["kept0"]
+        ):
             for piece in out.to_pylist():
                 key = piece["key0"]
                 assert piece["order0"] == begin

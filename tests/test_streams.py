@@ -152,10 +152,35 @@ def test_disorder(spark, tmp_path, salted):
     assert found == expected
 
 
-def test_on_arrival(spark, tmp_path):
+@pytest.mark.parametrize("inclusive", [False, True])
+def test_on_arrival(spark, tmp_path, inclusive):
+    """Each batch is later than the one before, in itself without order."""
     rows = sorted((r for batch in disorder(2)[:-1] for r in batch), key=lambda r: (r[1], r[2]))
-    add_files(tmp_path / "in", [rows[:300], rows[300:700], rows[700:], closing(10**8)])
-    assert matches(spark, tmp_path, buffered=False) == in_table(spark, tmp_path)
+    batches = [rows[:300], rows[300:700], rows[700:]]
+    for batch in batches:
+        random.Random(4).shuffle(batch)
+    add_files(tmp_path / "in", [*batches, closing(10**8)])
+    found = matches(spark, tmp_path, inclusive, buffered=False)
+    assert found == in_table(spark, tmp_path, inclusive)
+
+
+def test_row_that_is_both_steps(spark, tmp_path):
+    rows = [(key, ms, ms, "x") for key, times in (("a", (0, 10, 20, 30, 40)), ("b", (5,))) for ms in times]
+    rows.sort(key=lambda r: r[1])
+    add_files(tmp_path / "in", [rows[:4], rows[4:], closing(10**7)])
+    both = Pattern(
+        Step("one", F.col("kind") == "x"), Step("two", F.col("kind") == "x"), timedelta(minutes=1)
+    )
+    for buffered in (True, False):
+        found = match_stream(
+            stream(spark, tmp_path / "in"), both, ["key"], "at", "tie", ["tie"], buffered=buffered
+        )
+        out = str(tmp_path / f"out{buffered}")
+        finish(write_outputs(found, out, str(tmp_path / f"progress{buffered}")))
+        pairs = [(r.key, r.one.tie, r.two.tie if r.two else -1) for r in spark.read.parquet(out).collect()]
+        assert sorted(pairs) == [
+            ("a", 0, 10), ("a", 10, 20), ("a", 20, 30), ("a", 30, 40), ("a", 40, -1), ("b", 5, -1)
+        ]
 
 
 def test_restart(spark, tmp_path):
