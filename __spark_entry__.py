@@ -360,6 +360,12 @@ def _stream_pattern_hot_key(spark: SparkSession, folder: str) -> DataFrame:
     return _outcome(spark.read.parquet(out))
 
 
+def _stream_pattern_ascending(spark: SparkSession, folder: str) -> DataFrame:
+    stream = _hot(_event_stream(spark, folder))
+    out = _run_outputs(spark, _stream_matches(stream, buffered=False), "status")
+    return _outcome(spark.read.parquet(out))
+
+
 def _stream_timeout(spark: SparkSession, folder: str) -> DataFrame:
     out = _run_outputs(spark, _stream_matches(_event_stream(spark, folder)), "status")
     create = F.col("create")
@@ -369,19 +375,21 @@ def _stream_timeout(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _stream_run_alert(spark: SparkSession, folder: str) -> DataFrame:
-    alerts = machine_stream(
-        _event_stream(spark, folder),
-        run_alert_machine("error", "view"),
-        USER,
-        ORDER,
-        F.col("event_type"),
-        keep=["event_id"],
-    )
+def _stream_alerts(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    machine = run_alert_machine("error", "view")
+    alerts = machine_stream(stream, machine, USER, ORDER, F.col("event_type"), keep=["event_id"])
     texts = labelled(alerts.select("event_id", run_text("user_id").alias("text")), "warning")
     return read_output(spark, _run_outputs(spark, texts, "label"), "warning", "label")
 
 
+def _stream_run_alert(spark: SparkSession, folder: str) -> DataFrame:
+    return _stream_alerts(spark, _event_stream(spark, folder))
+
+
+def _stream_run_alert_hot_key(spark: SparkSession, folder: str) -> DataFrame:
+    return _stream_alerts(spark, _hot(_event_stream(spark, folder)))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Sign-ups and what became of them, on the smallest tables."""
     return _pattern(spark, "/root/testdata/sf0.001")
@@ -417,8 +425,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "word_count": _word_count,
         "stream_pattern": _stream_pattern,
         "stream_pattern_hot_key": _stream_pattern_hot_key,
+        "stream_pattern_ascending": _stream_pattern_ascending,
         "stream_timeout": _stream_timeout,
         "stream_run_alert": _stream_run_alert,
+        "stream_run_alert_hot_key": _stream_run_alert_hot_key,
     }
 
 
@@ -481,9 +491,12 @@ SELECT event_id, user_id,
        CASE WHEN run_length >= 3 THEN 1 ELSE 0 END AS matched
 FROM ({_runs_sql("event_type = 'error'")})"""
 
-_RUN_TEXT = f"""
+
+def _run_text_sql(events: str = "events") -> str:
+    return f"""
 SELECT event_id, user_id || ' 连续三次登录失败' AS text
-FROM ({_runs_sql("event_type = 'error'")}) WHERE run_length >= 3"""
+FROM ({_runs_sql("event_type = 'error'", events)}) WHERE run_length >= 3"""
+
 
 _SENSOR_SQL = """
 SELECT event_id, CASE WHEN event_type <> 'error' THEN event_type END AS id,
@@ -531,7 +544,7 @@ SELECT event_id AS create_id, second_id AS pay_id,
        CASE WHEN second_id IS NULL THEN 1 ELSE 2 END AS steps
 FROM ({_pattern_sql()})""",
         "alert_text": f"""
-SELECT 'warning' AS label, event_id, text FROM ({_RUN_TEXT})
+SELECT 'warning' AS label, event_id, text FROM ({_run_text_sql()})
 UNION ALL
 SELECT 'payed', second_id, '订单 ' || second_id || ' 已支付！'
 FROM ({_pattern_sql()}) WHERE status = 'payed'
@@ -582,7 +595,7 @@ SELECT event_id, epoch_us(ts) // 1000 * 1000 AS at_us,
        strftime(date_trunc('millisecond', ts), '%Y-%m-%d %H:%M:%S.%g') AS at_text
 FROM events""",
         "fsm_states": _RUN_STATES,
-        "fsm_alerts": f"SELECT event_id, text FROM ({_RUN_TEXT})",
+        "fsm_alerts": f"SELECT event_id, text FROM ({_run_text_sql()})",
         "fsm_funnel": _funnel_sql(),
         "fsm_hot_key": _funnel_sql(_HOT),
         "word_count": r"""
@@ -591,8 +604,15 @@ FROM (SELECT unnest(regexp_split_to_array(text, '\s+')) AS word FROM documents)
 WHERE word <> '' GROUP BY word""",
         "stream_pattern": _closed_sql(),
         "stream_pattern_hot_key": _closed_sql(_HOT),
+        # Taken as they come, steps settle a match before the watermark reaches them.
+        "stream_pattern_ascending": f"""
+SELECT * FROM ({_pattern_sql(_HOT)}) m
+WHERE second_us IS NOT NULL OR first_us + 86400000000 <= {_SEEN}
+   OR EXISTS (SELECT 1 FROM {_HOT} p WHERE p.user_id = m.user_id
+              AND p.event_type = 'purchase' AND epoch_us(p.ts) >= m.first_us + 86400000000)""",
         "stream_timeout": f"""
 SELECT event_id AS create_id, {timeout_text_sql} AS text
 FROM ({_closed_sql()}) WHERE status = 'timeout'""",
-        "stream_run_alert": _RUN_TEXT,
+        "stream_run_alert": _run_text_sql(),
+        "stream_run_alert_hot_key": _run_text_sql(_HOT),
     }

@@ -76,7 +76,7 @@ def match_stream(
         F.col(ts).alias("time"),
     )
     kept = T.StructType([flat.schema[f"kept{i}"] for i in range(len(keep))])
-    held = T.StructType([*[flat.schema[c] for c in (_AT, _TIE, _FIRST, _SECOND)], *kept])
+    step = T.StructType([*[flat.schema[c] for c in (_AT, _TIE, _FIRST, _SECOND)], *kept])
     groups = [flat.schema[f"key{i}"] for i in range(len(keys))]
     out = T.StructType(
         [
@@ -92,14 +92,14 @@ def match_stream(
     names = [g.name for g in groups]
     if not buffered:
         flat = _settled(flat, names, kept, longest)
-    processor = FollowedBy(held, out, within, longest, buffered)
+    processor = FollowedBy(step, out, within, longest, buffered)
     found = flat.groupBy(*names, _SALT).transformWithState(
         processor, out, outputMode="Append", timeMode="EventTime"
     )
 
-    def rows(step: str) -> Column:
-        values = [typed(df, c, F.col(step)[f"kept{i}"]).alias(c) for i, c in enumerate(keep)]
-        return F.when(F.col(step).isNotNull(), F.struct(*values))
+    def rows(name: str) -> Column:
+        values = [typed(df, c, F.col(name)[f"kept{i}"]).alias(c) for i, c in enumerate(keep)]
+        return F.when(F.col(name).isNotNull(), F.struct(*values))
 
     return found.select(
         *[F.col(g.name).alias(k) for g, k in zip(groups, keys)],
@@ -180,34 +180,35 @@ def settle(
 
 
 class FollowedBy(StatefulProcessor):
-    """Steps of one key: those the watermark has not reached, and open first steps.
+    """Steps of one key: those waiting for the watermark, and open first steps.
 
-    One timer per key is set, for the earliest thing to do: taking a waiting step or
-    giving up an open one. Held steps are tuples (at, tie, first, second, *kept).
+    Each call to the state is a round trip to the JVM, so both kinds share one list and
+    one timer is set, for the earliest thing to do: taking a waiting step or giving up
+    an open one. Steps are tuples (at, tie, first, second, *kept), and held ones have
+    in front whether they are open.
     """
 
     def __init__(
-        self, held: T.StructType, out: T.StructType, within: int, longest: int, buffered: bool
+        self, step: T.StructType, out: T.StructType, within: int, longest: int, buffered: bool
     ):
-        self.held, self.result, self.buffered = held, Row(*out.names), buffered
+        self.fields, self.result, self.buffered = step.names, Row(*out.names), buffered
+        self.kind = T.StructType([T.StructField("open", T.BooleanType()), *step])
         self.within, self.longest = within, longest
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.held)
-        self.open = handle.getListState("open", self.held)
+        self.held = handle.getListState("held", self.kind)
         self.due = handle.getValueState("due", T.StructType([T.StructField("ms", T.LongType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        fields = self.held.names
         if self.buffered:
-            steps = [tuple(row[f] for f in fields) for row in rows]
-            self.waiting.appendList(steps)
-            self._wake(min(s[0] for s in steps))
+            waiting = [(False, *[row[f] for f in self.fields]) for row in rows]
+            self.held.appendList(waiting)
+            self._wake(min(s[1] for s in waiting), self.due.get())
             return
         steps = []
         for row in rows:
-            step = tuple(row[f] for f in fields)
+            step = tuple(row[f] for f in self.fields)
             if row[_STATUS] is None:
                 steps.append(step)
             else:
@@ -215,28 +216,20 @@ class FollowedBy(StatefulProcessor):
                 second = tuple(row[f"next{i}"] for i in range(len(step) - 4)) if matched else None
                 yield self.result(*key[:-1], step[4:], second, row[_STATUS])
         if steps:
-            still_open = list(self.open.get())
+            still_open = [tuple(s[1:]) for s in self.held.get()]
             still_open, done = self._take(key, still_open, sorted(steps, key=_in_order))
-            self._keep_open(still_open)
             yield from done
+            self._hold(still_open, [], self.due.get())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.due.clear()
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = list(self.waiting.get())
-        ready = sorted((s for s in waiting if s[0] <= now), key=_in_order)
-        still_open, done = self._take(key, list(self.open.get()), ready)
+        still_open, ready, waiting = [], [], []
+        for is_open, *step in self.held.get():
+            (still_open if is_open else ready if step[0] <= now else waiting).append(tuple(step))
+        still_open, done = self._take(key, still_open, sorted(ready, key=_in_order))
         yield from done
-        if ready:
-            waiting = [s for s in waiting if s[0] > now]
-            if waiting:
-                self.waiting.put(waiting)
-            else:
-                self.waiting.clear()
         yield from (self._out(key, s) for s in still_open if s[0] + self.within <= now)
-        self._keep_open([s for s in still_open if s[0] + self.within > now])
-        if waiting:
-            self._wake(min(s[0] for s in waiting))
+        self._hold([s for s in still_open if s[0] + self.within > now], waiting, None)
 
     def close(self) -> None:
         pass
@@ -257,21 +250,25 @@ class FollowedBy(StatefulProcessor):
         status = MATCHED if matched else TIMED_OUT
         return self.result(*key[:-1], first[4:], second[4:] if matched else None, status)
 
-    def _keep_open(self, steps: list) -> None:
-        if steps:
-            self.open.put(steps)
-            self._wake(min(s[0] for s in steps) + self.within)
+    def _hold(self, still_open: list, waiting: list, due: tuple | None) -> None:
+        times = [s[0] + self.within for s in still_open] + [s[0] for s in waiting]
+        if times:
+            self.held.put([(True, *s) for s in still_open] + [(False, *s) for s in waiting])
+            self._wake(min(times), due)
         else:
-            self.open.clear()
+            self.held.clear()
+            self.due.clear()
+
+    def _wake(self, micros: int, due: tuple | None) -> None:
+        """Have the timer go off once the watermark reaches a time, if not earlier.
 
-    def _wake(self, micros: int) -> None:
-        """Have the timer go off once the watermark reaches a time, if not earlier."""
+        ``due`` is when the timer is set to go off, None if it is not set.
+        """
         at = -(-micros // 1000)
-        if self.due.exists():
-            due = self.due.get()[0]
-            if due <= at:
+        if due is not None:
+            if due[0] <= at:
                 return
-            self.handle.deleteTimer(due)
+            self.handle.deleteTimer(due[0])
         self.handle.registerTimer(at)
         self.due.update((at,))
 
