@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -64,12 +64,20 @@ class Segments:
         if not self.split:
             return df
         columns = [F.col(c) for c in df.columns]
-        joined = df.join(F.broadcast(self.cuts), list(self.keys), "left")
-        return joined.select(
-            *columns,
-            F.when(F.col(_CUTS).isNull(), 0).otherwise(self._search()).alias(SEGMENT),
-            F.col(_CUTS).isNotNull().alias(HOT),
+        placed = df.join(F.broadcast(self.cuts), list(self.keys), "left").withColumns(
+            {
+                HOT: F.col(_CUTS).isNotNull(),
+                _MARK: F.struct(*self.order),
+                SEGMENT: F.lit(0),
+            }
         )
+        # Binary search for the number of cuts at or before the row. Steps are written
+        # out so that they become generated code; a lambda would be interpreted.
+        for bit in reversed(range(self.longest.bit_length())):
+            further = F.col(SEGMENT) + (1 << bit)
+            passed = F.col(HOT) & (F.get(_CUTS, further - 1) <= F.col(_MARK))
+            placed = placed.withColumn(SEGMENT, F.when(passed, further).otherwise(F.col(SEGMENT)))
+        return placed.select(*columns, SEGMENT, HOT)
 
     def all(self) -> DataFrame:
         """Every segment of every hot key, by number."""
@@ -81,16 +89,6 @@ class Segments:
         """Every hot key and how many segments it has."""
         return self.cuts.select(*self.keys, (F.size(_CUTS) + 1).alias("parts"))
 
-    def _search(self) -> Column:
-        """Number of cuts at or before the row, by binary search."""
-        row = F.struct(*self.order)
-        jumps = [1 << bit for bit in reversed(range(self.longest.bit_length()))]
-        return F.aggregate(
-            F.lit(jumps),
-            F.lit(0),
-            lambda at, jump: F.when(F.get(_CUTS, at + jump - 1) <= row, at + jump).otherwise(at),
-        )
-
 
 def plan_segments(
     df: DataFrame,

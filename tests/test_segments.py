@@ -7,12 +7,12 @@ from sequon.plans.segments import HOT, SEGMENT, plan_segments
 
 
 def events(spark, rows=3000):
-    """A third of the rows under one key, one time for many rows, some without a key."""
+    """A third of the rows under one key, one time or none for many rows, some without a key."""
     return spark.range(rows).select(
         F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 100 == 1, None).otherwise(
             F.col("id") % 50
         ).alias("key"),
-        (F.col("id") / 7).cast("int").alias("at"),
+        F.when(F.col("id") % 11 > 0, (F.col("id") / 7).cast("int")).alias("at"),
         F.col("id").alias("tie"),
     )
 
@@ -36,8 +36,9 @@ def test_every_row_has_one_segment_in_order(spark, segment_rows):
     for row in spans.collect():
         by_key.setdefault(row.key, []).append((row[SEGMENT], row.first, row.last))
     for parts in by_key.values():
-        parts.sort()
-        assert all(a[2] < b[1] for a, b in zip(parts, parts[1:]))
+        # Rows without a time come first.
+        spans = sorted((s, [(t[0] if t[0] is not None else -1, t[1]) for t in ends]) for s, *ends in parts)
+        assert all(a[1][1] < b[1][0] for a, b in zip(spans, spans[1:]))
     hot = placed.where(F.col("key") == -1)
     assert hot.where(~F.col(HOT)).isEmpty()
     largest = hot.groupBy(SEGMENT).count().agg(F.max("count")).first()[0]
