@@ -300,8 +300,9 @@ def _funnel() -> Machine:
 
 
 def _states(events: DataFrame, machine: Machine, **options) -> DataFrame:
-    slim = events.select("event_id", "user_id", "ts", "event_type")
-    traced = run_machine(slim, machine, USER, ORDER, F.col("event_type"), **options)
+    traced = run_machine(
+        events, machine, USER, ORDER, F.col("event_type"), keep=["event_id"], **options
+    )
     return traced.select("event_id", "user_id", "state", F.col("matched").cast("int").alias("matched"))
 
 
@@ -310,9 +311,14 @@ def _fsm_states(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fsm_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    slim = _events(spark, folder).select("event_id", "user_id", "ts", "event_type")
-    machine = run_alert_machine("error", "view")
-    alerts = machine_alerts(slim, machine, USER, ORDER, F.col("event_type"))
+    alerts = machine_alerts(
+        _events(spark, folder),
+        run_alert_machine("error", "view"),
+        USER,
+        ORDER,
+        F.col("event_type"),
+        keep=["event_id"],
+    )
     return alerts.select("event_id", run_text("user_id").alias("text"))
 
 

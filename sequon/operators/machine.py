@@ -7,14 +7,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sequon.plans.segments import HOT, SEGMENT, SEGMENT_ROWS, Segments, plan_segments
 
-_PLACE, _SYMBOL, _MOVES, _BEFORE = "__place", "__symbol", "__moves", "__before"
+_SYMBOL, _MOVES, _BEFORE, _GROUP = "__symbol", "__moves", "__before", "__group"
 
 
 @dataclass(frozen=True)
@@ -105,23 +105,28 @@ def run_machine(
     keys: Sequence[str],
     order: Sequence[str],
     event: Column,
+    keep: Sequence[str] | None = None,
     segments: Segments | None = None,
     segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Add ``state``, the state after each row, and ``matched``, whether it is reported.
 
-    ``order`` must order the rows of a key completely. All columns of ``df`` pass
-    through Arrow, so select the needed ones first.
+    ``order`` must order the rows of a key completely. Keys and the ``keep`` columns,
+    all by default, pass through Arrow, at a cost per column.
     """
     segments = segments or plan_segments(df, keys, order, segment_rows)
-    columns = [F.col(c) for c in df.columns]
+    columns = df.columns if keep is None else list(dict.fromkeys([*keys, *keep]))
     moves, reports = machine.table()
-    placed = segments.assign(df.withColumn(_SYMBOL, machine.symbol(event)))
+    slim = df.withColumn(_SYMBOL, machine.symbol(event)).select(
+        *dict.fromkeys([*columns, *order]), _SYMBOL
+    )
+    placed = segments.assign(slim)
+    passed = list(dict.fromkeys([*segments.group, *columns, _SYMBOL]))
     before = F.get(_BEFORE, F.lit(0))
     if not segments.split:
-        traced = _traced(placed, segments.group, segments.order, moves, entry=0)
+        traced = _traced(placed, segments.group, segments.order, passed, moves, entry=0)
     else:
-        traced = _traced(placed, segments.group, segments.order, moves)
+        traced = _traced(placed, segments.group, segments.order, passed, moves)
         traced = traced.join(
             F.broadcast(_entries(placed.where(HOT), segments, moves)), segments.group, "left"
         )
@@ -144,40 +149,28 @@ def _traced(
     placed: DataFrame,
     group: Sequence[str],
     order: Sequence[str],
+    passed: Sequence[str],
     moves: np.ndarray,
     entry: int | None = None,
 ) -> DataFrame:
-    """Add the state before each row, for each state its group may be entered in.
+    """Add to the ``passed`` columns the state before each row, for each state its group
+    may be entered in.
 
-    With a known ``entry`` the list has that one element. The window puts every
-    group in one partition, in order; Arrow batches are then read as a stream, so
-    no group is held as a whole.
+    With a known ``entry`` the list has that one element.
     """
-    placed = placed.withColumn(_PLACE, F.row_number().over(W.partitionBy(*group).orderBy(*order)))
-    schema = T.StructType([*placed.schema.fields, T.StructField(_BEFORE, T.ArrayType(T.ByteType()))])
-    by_moves = _MOVES in placed.columns
+    rows, marks = _in_order(placed, group, order, passed)
+    fields = placed.select(*passed).schema
+    schema = T.StructType([*fields, T.StructField(_BEFORE, T.ArrayType(T.ByteType()))])
+    names = schema.names
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = np.arange(moves.shape[1], dtype=np.int8)
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            if by_moves:
-                step = batch.column(_MOVES).flatten().to_numpy().reshape(batch.num_rows, -1)
-            else:
-                step = moves[batch.column(_SYMBOL).to_numpy()]
-            starts = batch.column(_PLACE).to_numpy() == 1
-            before, last = states_before(step, starts, last, entry)
-            width = before.shape[1]
-            listed = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(before) + 1, dtype=np.int32) * width),
-                pa.array(before.ravel()),
-            )
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, listed], names=[*batch.schema.names, _BEFORE]
-            )
+        for batch, starts in _with_starts(batches, marks):
+            before, last = states_before(_steps(batch, moves), starts, last, entry)
+            columns = [*batch.select(names[:-1]).columns, lists(before)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return placed.mapInArrow(trace, schema)
+    return rows.mapInArrow(trace, schema)
 
 
 def _entries(hot: DataFrame, segments: Segments, moves: np.ndarray) -> DataFrame:
@@ -186,18 +179,91 @@ def _entries(hot: DataFrame, segments: Segments, moves: np.ndarray) -> DataFrame
     A segment is a function from the state it is entered in to the state it is left
     in, so the segments of a key are traced like events.
     """
-    slim = hot.select(*segments.group, *segments.order, _SYMBOL)
-    traced = _traced(slim, segments.group, segments.order, moves)
-    wide = moves.shape[1]
-    flat = F.lit(moves.ravel().tolist())
-    after = F.transform(
-        _BEFORE, lambda state: F.get(flat, F.col(_SYMBOL) * wide + state).cast("byte")
-    )
-    whole = traced.groupBy(*segments.group).agg(F.max_by(after, _PLACE).alias(_MOVES))
-    entered = _traced(whole, segments.keys, [SEGMENT], moves, entry=0)
+    rows, marks = _in_order(hot, segments.group, segments.order, [*segments.group, _SYMBOL])
+    fields = hot.select(*segments.group).schema
+    schema = T.StructType([*fields, T.StructField(_MOVES, T.ArrayType(T.ByteType()))])
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, open_group = np.arange(moves.shape[1], dtype=np.int8), None
+        for batch, starts in _with_starts(batches, marks):
+            ended = last
+            before, last = states_before(_steps(batch, moves), starts, last, None)
+            groups = batch.select(schema.names[:-1])
+            # A group is known to be complete where the next one starts.
+            if starts[0] and open_group is not None:
+                yield _row(open_group, ended)
+            ends = np.flatnonzero(starts[1:])
+            if len(ends):
+                step = _steps(batch, moves)[ends]
+                after = np.take_along_axis(step, before[ends].astype(np.intp), axis=1)
+                columns = [*groups.take(pa.array(ends)).columns, lists(after)]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            open_group = groups.slice(batch.num_rows - 1)
+        if open_group is not None:
+            yield _row(open_group, last)
+
+    def _row(group: pa.RecordBatch, function: np.ndarray) -> pa.RecordBatch:
+        columns = [*group.columns, lists(function[None, :])]
+        return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    whole = rows.mapInArrow(reduce, schema)
+    entered = _traced(whole, segments.keys, [SEGMENT], whole.columns, moves, entry=0)
     return entered.select(*segments.group, F.get(_BEFORE, F.lit(0)).alias("__entry"))
 
 
+def _in_order(
+    placed: DataFrame, group: Sequence[str], order: Sequence[str], passed: Sequence[str]
+) -> tuple[DataFrame, list[str]]:
+    """``passed`` columns with every group in one partition, in order, and the names of
+    the columns that tell groups apart.
+
+    A sort without a window on top costs a fraction of one with it. Columns that only
+    order the rows are not passed on.
+    """
+    marks, texts = [], {}
+    for i, name in enumerate(group):
+        kind = placed.schema[name].dataType
+        if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+            raise TypeError(f"key column {name} must not be nested")
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            # As text, what is not a number equals itself; adding zero drops its sign.
+            texts[f"{_GROUP}{i}"] = (F.col(name) + 0.0).cast("string")
+            name = f"{_GROUP}{i}"
+        marks.append(name)
+    rows = placed.repartition(*group).sortWithinPartitions(*group, *order)
+    return rows.select(*passed, *[text.alias(n) for n, text in texts.items()]), marks
+
+
+def _with_starts(
+    batches: Iterator[pa.RecordBatch], marks: Sequence[str]
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Filled batches, with true at the first row of each group."""
+    last = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        groups = batch.select(marks)
+        starts = np.zeros(batch.num_rows, dtype=bool)
+        starts[0] = last is None or not groups.slice(0, 1).equals(last)
+        for column in groups.columns:
+            starts[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        last = groups.slice(batch.num_rows - 1)
+        yield batch, starts
+
+
+def _steps(batch: pa.RecordBatch, moves: np.ndarray) -> np.ndarray:
+    """The function each row stands for."""
+    if _MOVES in batch.schema.names:
+        return batch.column(_MOVES).flatten().to_numpy().reshape(batch.num_rows, -1)
+    return moves[batch.column(_SYMBOL).to_numpy()]
+
+
+def lists(values: np.ndarray) -> pa.ListArray:
+    """Rows of an array as Arrow lists."""
+    ends = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()))
+
+
 def states_before(
     step: np.ndarray, starts: np.ndarray, carried: np.ndarray, entry: int | None
 ) -> tuple[np.ndarray, np.ndarray]:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from sequon.model import has_key
-from sequon.operators.machine import Machine, states_before
+from sequon.operators.machine import Machine, lists, states_before
 from sequon.streaming.folders import keep_state_on_disk
 from sequon.streaming.kept import plain, typed
 from sequon.streaming.stretches import reduce_stretches
@@ -110,20 +110,15 @@ def reduced(
     if len(reported):
         columns = [*taken(keys, reported), *taken(order, first[stretch]), *taken(kept, reported)]
         none = pa.nulls(len(reported), pa.list_(pa.int8()))
-        columns += [pa.array(reported), _lists(when[reported]), none]
+        columns += [pa.array(reported), lists(when[reported]), none]
         yield from pa.table(columns, names=names).to_batches()
     after = np.take_along_axis(step[last], before[last].astype(np.intp), axis=1)
     columns = [*taken(keys, first), *taken(order, first)]
     columns += [pa.nulls(len(first), rows.schema.field(n).type) for n in kept]
-    columns += [pa.array(last), pa.nulls(len(first), pa.list_(pa.bool_())), _lists(after)]
+    columns += [pa.array(last), pa.nulls(len(first), pa.list_(pa.bool_())), lists(after)]
     yield from pa.table(columns, names=names).to_batches()
 
 
-def _lists(values: np.ndarray) -> pa.ListArray:
-    ends = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()))
-
-
 class KeptState(StatefulProcessor):
     """Runs the stretches of one key through its state."""
 

@@ -91,6 +91,42 @@ def test_first_rule_wins_and_unknown_events_reset(spark):
     assert sorted(r.place for r in alerts.collect()) == [3, 4]
 
 
+@pytest.fixture(params=[10_000, 3])
+def batch_rows(spark, request):
+    """Arrow batches that hold all rows, or end within groups."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield
+    spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("segment_rows", [2_000_000, 7])
+def test_several_and_odd_keys(spark, segment_rows, batch_rows):
+    """Keys that are not numbers or are zero with a sign, and more key columns than one."""
+    odd = [float("nan"), 0.0, -0.0, 1.5]
+    rows = [(odd[i % 4], "ab"[i // 20 % 2], i, "fail" if i % 7 else "x") for i in range(80)]
+    data = spark.createDataFrame(rows, "n double, k string, place int, kind string")
+    found = run_machine(
+        data, ALERT, ["n", "k"], ["place"], F.col("kind"), segment_rows=segment_rows
+    )
+    by_key = {}
+    for n, k, place, kind in rows:
+        by_key.setdefault((str(n + 0.0), k), []).append((place, kind))
+    expected = {
+        place: result
+        for events in by_key.values()
+        for (place, _), result in zip(events, interpret(ALERT, [e[1] for e in events]))
+    }
+    assert {r.place: (r.state, r.matched) for r in found.collect()} == expected
+
+
+def test_nested_keys_are_refused(spark):
+    data = spark.createDataFrame([([1], 1, "fail")], "key array<int>, place int, kind string")
+    with pytest.raises(TypeError):
+        run_machine(data, ALERT, ["key"], ["place"], F.col("kind"))
+
+
 def test_machine_without_rules(spark):
     assert traced(spark, Machine("Only", ()), ["a", None]) == [("Only", False)] * 2
 
