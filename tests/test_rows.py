@@ -3,7 +3,6 @@
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import Observation
-from pyspark.sql import functions as F
 
 from sequon.functions.rows import (
     LOGIN_FORM,

@@ -126,7 +126,12 @@ def disorder(seed, late_ms=5000, keys="abcdef"):
     """Batches in which a row arrives up to ``late_ms`` after rows later than it."""
     dice = random.Random(seed)
     rows = [
-        (dice.choice(["hot", "hot", "hot", *keys]), dice.randrange(0, 6_000_000), i, dice.choice(["create", "pay", "modify", None]))
+        (
+            dice.choice(["hot", "hot", "hot", *keys]),
+            dice.randrange(0, 6_000_000),
+            i,
+            dice.choice(["create", "pay", "modify", None]),
+        )
         for i in range(600)
     ]
     # Pairs close to one another in time, so that disorder matters.
