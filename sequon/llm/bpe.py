@@ -170,11 +170,11 @@ class Encoder:
 
 def encode(spark: SparkSession, text: str | Column, vocabulary: Vocabulary) -> Column:
     """Ids of a text, packed; no special tokens. A null or empty text has none."""
-    sent = spark.sparkContext.broadcast((vocabulary.ranks, vocabulary.pattern))
+    sent = spark.sparkContext.broadcast(vocabulary)
 
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(Vocabulary(*sent.value))
+        encoder = Encoder(sent.value)
         for batch in batches:
             yield pa.array((encoder(x.as_py()) for x in batch), pa.binary())
 
@@ -183,11 +183,11 @@ def encode(spark: SparkSession, text: str | Column, vocabulary: Vocabulary) -> C
 
 def decode(spark: SparkSession, ids: str | Column, vocabulary: Vocabulary) -> Column:
     """Bytes of packed ids; null stays null, an id outside the vocabulary is an error."""
-    sent = spark.sparkContext.broadcast((vocabulary.ranks, vocabulary.pattern))
+    sent = spark.sparkContext.broadcast(vocabulary)
 
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = {rank: token for token, rank in sent.value[0].items()}
+        tokens = sent.value.tokens
         for batch in batches:
             yield pa.array(
                 (
