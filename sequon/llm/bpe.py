@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 #: Distinct pre-tokens that a task remembers before it starts anew.
 REMEMBERED = 100_000
 #: Slots hold keys per bucket; the first hash chooses the bucket.
-PER_BUCKET = 4
+PER_BUCKET = 2
 #: Longer texts are split into pre-tokens piece by piece.
 _CHUNK = 1 << 20
 
@@ -35,7 +35,7 @@ class PerfectHash:
     """Minimal and perfect: the n keys take the slots 0 to n - 1, one each.
 
     Each bucket has a displacement, found largest bucket first, that sends its keys to
-    free slots. A key outside the set also gets a slot; compare before use.
+    free slots; the bucket of a single key names its slot, as ``-1 - slot``. A key outside the set also gets a slot; compare before use.
     """
 
     def __init__(self, keys: list[bytes]):
@@ -47,7 +47,13 @@ class PerfectHash:
         for h in hashes:
             members.setdefault((h >> 96) % self.buckets, []).append(h)
         taken = bytearray(self.n)
+        free = 0
         for bucket, own in sorted(members.items(), key=lambda item: -len(item[1])):
+            if len(own) == 1:
+                free = taken.index(0, free)
+                taken[free] = 1
+                self.shift[bucket] = -1 - free
+                continue
             shift = 0
             while True:
                 slots = {self._slot(h, shift) for h in own}
@@ -59,8 +65,11 @@ class PerfectHash:
             self.shift[bucket] = shift
 
     def _slot(self, h: int, shift: int) -> int:
-        # Two independent parts of the hash, so that each shift is a new draw.
-        return ((h & 0xFFFFFFFF) + shift * ((h >> 32 & 0xFFFFFFFF) | 1) + (shift * shift)) % self.n
+        if shift < 0:
+            return -1 - shift
+        # A shift changes all bits of the product, so that each is a new draw.
+        mixed = ((h ^ shift * 0x9E3779B97F4A7C15) * (h >> 32 | 1)) & 0xFFFFFFFFFFFFFFFF
+        return (mixed >> 32) % self.n
 
     def slot(self, key: bytes) -> int:
         h = xxhash.xxh3_128_intdigest(key)

@@ -78,3 +78,8 @@ def checkpoints(context: SparkContext) -> None:
 
 def crc32(data: bytes) -> int:
     return zlib.crc32(data)
+
+
+def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table by a path that only Spark may be able to read."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")

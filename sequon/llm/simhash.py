@@ -48,7 +48,7 @@ def simhash(text: str | None, size: int = 3, seed: int = 42) -> int:
             dtype=">u8",
             count=len(many),
         )
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(0)
+        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
