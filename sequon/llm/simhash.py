@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sequon.llm.common import kept, small
 
@@ -52,7 +53,7 @@ def simhash(text: str | None, size: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def fingerprint(texts: pa.Array) -> pa.Array:
     """64 bits, in a signed long."""
     values = np.array([simhash(t.as_py()) for t in texts], dtype=np.uint64)

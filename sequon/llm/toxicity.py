@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sequon.llm.common import kept
 from sequon.llm.ngrams import buckets, counts, letters
@@ -32,7 +33,7 @@ def present(text: str | None) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
-@F.arrow_udf("array<int>")
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
 def _present(texts: pa.Array) -> pa.Array:
     return pa.array((present(t.as_py()).astype(np.int32) for t in texts), pa.list_(pa.int32()))
 
