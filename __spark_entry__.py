@@ -622,3 +622,20 @@ FROM ({_closed_sql()}) WHERE status = 'timeout'""",
         "stream_run_alert": _run_text_sql(),
         "stream_run_alert_hot_key": _run_text_sql(_HOT),
     }
+
+
+try:
+    import corpus_pipeline
+    from sequon.llm import queries as _llm
+except ImportError:
+    # The operators on training text can be left out as a whole.
+    _llm = None
+
+if _llm is not None:
+    _own_queries, _own_sql = queries, oracle_sql
+
+    def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+        return {**_own_queries(), **_llm.QUERIES, "pipeline": corpus_pipeline.run}
+
+    def oracle_sql() -> dict[str, str]:
+        return {**_own_sql(), **_llm.ORACLE_SQL}
