@@ -6,7 +6,7 @@ counted over all rows, and a range with more than its part, a large group of cop
 one, is subdivided by row. Exact running sums within ranges and the totals of those before
 cut the whole order into shards. Only ids, sizes and hashes move.
 
-A null text has 16 bytes and checksum null like an empty one's 0; repeated rows take slots
+A null text has 16 bytes and checksum null, an empty one 16 and 0; repeated rows take slots
 of their own. An empty table gives an empty result.
 """
 

@@ -118,7 +118,10 @@ def _compare(radius: int):
                 mine, other = np.array(a.as_py(), np.int64), np.array(b.as_py(), np.int64)
                 found = []
                 for at in range(0, len(mine), 256):
-                    apart = np.bitwise_count(mine[at : at + 256, None] ^ other[None, :])
+                    # Unsigned: of a negative number numpy counts the bits of its absolute value.
+                    apart = np.bitwise_count(
+                        (mine[at : at + 256, None] ^ other[None, :]).view(np.uint64)
+                    )
                     i, j = np.nonzero(apart <= radius)
                     found.append(np.stack([i + at, j], axis=1))
                 pairs = np.concatenate(found)

@@ -25,7 +25,7 @@ ORDER, BITS = 4, 17
 TRAIN_PER_LABEL = 2_000
 #: Added to each count before the ratio, so that rare n-grams say little.
 SMOOTH = 5.0
-RIDGE, ROUNDS, STEP = 1e-3, 150, 0.05
+RIDGE, ROUNDS, STEP = 10.0, 150, 0.05
 
 
 def present(text: str | None) -> np.ndarray:
