@@ -84,7 +84,8 @@ def test_ledger(spark):
     kept = {r.doc_id for r in quality.keep(table, "v1").collect()}
     assert kept == {7}
     lost = {r.rule: r.n_only for r in quality.ablation(quality.ledger(table), "v1").collect()}
-    assert lost["few_words"] == 5
+    # The fifth text also has four symbols among six words.
+    assert lost["few_words"] == 4
 
 
 def _hits(text, items):
