@@ -1,9 +1,10 @@
 """Toxicity by a linear classifier over character n-grams.
 
-A feature is the presence of a 4-gram of letters in a text, times the log ratio of its
-smoothed counts in toxic and other texts. The ratios come from all labelled rows; the weights are
-fitted by logistic regression on at most ``TRAIN_PER_LABEL`` rows of either label, chosen
-by hash.
+A feature is the presence of a 5-gram of letters in a text, times the log ratio of its
+smoothed shares of toxic and of other texts. Shares come from all labelled rows; n-grams
+whose shares differ by less than ``LEAST_Z`` standard errors are left out, so that the many
+that say nothing do not add up in long texts. The weights are fitted by logistic regression
+on at most ``TRAIN_PER_LABEL`` different texts of either label, chosen by hash.
 
 Null and empty texts have no features and score by the bias alone. Without rows of both
 labels every text scores the share of toxic rows, 0 if there are none.
@@ -21,11 +22,12 @@ from pyspark.sql import types as T
 from sequon.llm.common import kept
 from sequon.llm.ngrams import buckets, counts, letters
 
-ORDER, BITS = 4, 17
+ORDER, BITS = 5, 18
 TRAIN_PER_LABEL = 2_000
-#: Added to each count before the ratio, so that rare n-grams say little.
-SMOOTH = 5.0
-RIDGE, ROUNDS, STEP = 10.0, 150, 0.05
+#: Added to each count before the ratio.
+SMOOTH = 1.0
+LEAST_Z = 3.0
+RIDGE, ROUNDS, STEP = 1e-3, 200, 0.02
 
 
 def present(text: str | None) -> np.ndarray:
@@ -33,34 +35,36 @@ def present(text: str | None) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
-@F.arrow_udf(T.ArrayType(T.IntegerType()))
-def _present(texts: pa.Array) -> pa.Array:
-    return pa.array((present(t.as_py()).astype(np.int32) for t in texts), pa.list_(pa.int32()))
-
-
 class Classifier:
     def __init__(self, weight: np.ndarray, bias: float):
         self.weight, self.bias = weight, bias
 
     def score(self, text: str | None) -> float:
-        at = present(text)
-        z = self.bias + float(self.weight[at].sum()) / np.sqrt(max(len(at), 1))
+        z = self.bias + float(self.weight[present(text)].sum())
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
+def _ratios(counted: dict[str, np.ndarray], rows: dict[str, int]) -> np.ndarray:
+    """Log ratio of each n-gram's shares; 0 where they do not differ enough."""
+    (n1, n0), (all1, all0) = (counted["1"], counted["0"]), (rows["1"], rows["0"])
+    ratio = np.log((n1 + SMOOTH) / (all1 + 2 * SMOOTH)) - np.log((n0 + SMOOTH) / (all0 + 2 * SMOOTH))
+    pooled = (n1 + n0 + SMOOTH) / (all1 + all0 + 2 * SMOOTH)
+    error = np.sqrt(pooled * (1 - pooled) * (1 / all1 + 1 / all0))
+    return np.where(np.abs(n1 / all1 - n0 / all0) >= LEAST_Z * error, ratio, 0.0)
+
+
 def _fit(ratio: np.ndarray, grams: list[np.ndarray], label: np.ndarray) -> tuple[np.ndarray, float]:
     """Full-batch Adam over the scaled features, both labels weighing the same."""
-    sizes = np.array([len(g) for g in grams])
+    row = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
     at = np.concatenate(grams).astype(np.int64)
-    row = np.repeat(np.arange(len(grams)), sizes)
-    value = (ratio[at] / np.sqrt(np.maximum(sizes, 1))[row]).astype(np.float32)
+    value = ratio[at]
     share = np.where(label == 1, 0.5 / label.sum(), 0.5 / (len(label) - label.sum()))
-    weight, bias = np.ones(len(ratio)), 0.0
+    weight, bias = np.zeros(len(ratio)), 0.0
     m, v = np.zeros(len(ratio) + 1), np.zeros(len(ratio) + 1)
     for t in range(1, ROUNDS + 1):
         z = np.bincount(row, value * weight[at], minlength=len(grams)) + bias
         error = share * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - label)
-        slope = np.bincount(at, value * error[row], minlength=len(ratio)) + RIDGE * (weight - 1) / len(ratio)
+        slope = np.bincount(at, value * error[row], minlength=len(ratio)) + RIDGE * weight
         slope = np.append(slope, error.sum())
         m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
         move = STEP * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -72,18 +76,27 @@ def learn(labelled: DataFrame, per_label: int = TRAIN_PER_LABEL) -> Classifier:
     """From (``label`` 0 or 1, ``text``); rows without a label are left out."""
     size = 1 << BITS
     known = kept(labelled.where("label in (0, 1)").select("label", "text"))
+    rows = {str(r.label): r["count"] for r in known.groupBy("label").count().collect()}
+    if set(rows) != {"0", "1"}:
+        return Classifier(np.zeros(size), 30.0 if "1" in rows else -30.0)
     counted = counts(
         known.select(F.col("label").alias("group"), "text"), lambda t: iter([present(t)]), size
     )
-    if set(counted) != {"0", "1"}:
-        return Classifier(np.zeros(size), 30.0 if "1" in counted else -30.0)
-    smooth = {k: (n + SMOOTH) / (n + SMOOTH).sum() for k, n in counted.items()}
-    ratio = np.log(smooth["1"] / smooth["0"])
-    order = [F.xxhash64("text"), "text"]
-    picked = [known.where(F.col("label") == x).orderBy(*order).limit(per_label) for x in (0, 1)]
-    rows = picked[0].union(picked[1]).select("label", _present("text").alias("grams")).toPandas()
-    weight, bias = _fit(ratio, list(rows["grams"]), rows["label"].to_numpy())
-    return Classifier(weight, bias)
+    none = np.zeros(size, np.int64)
+    ratio = _ratios({k: counted.get(k, none) for k in rows}, rows)
+    sent = known.sparkSession.sparkContext.broadcast(ratio != 0)
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def chosen(texts: pa.Array) -> pa.Array:
+        own = (present(t.as_py()) for t in texts)
+        return pa.array((g[sent.value[g]].astype(np.int32) for g in own), pa.list_(pa.int32()))
+
+    hashed = known.select("label", F.xxhash64("text").alias("h"), chosen("text").alias("grams"))
+    # Equal texts say one thing once, so a group of copies does not take all places.
+    texts = kept(hashed.groupBy("label", "h").agg(F.min("grams").alias("grams")))
+    picked = [texts.where(F.col("label") == x).orderBy("h").limit(per_label) for x in (0, 1)]
+    sample = picked[0].union(picked[1]).select("label", "grams").toPandas()
+    return Classifier(*_fit(ratio, list(sample["grams"]), sample["label"].to_numpy()))
 
 
 def score(spark: SparkSession, text: str | Column, classifier: Classifier) -> Column:
