@@ -54,13 +54,17 @@ class Languages:
             return {}
         n, p = own[at], self.p[:, at]
         penalty = 0.5 * math.log(max(n.sum(), 2))
-        chosen: list[int] = []
-        best, share = -math.inf, np.zeros(0)
+        alone = np.log(p) @ n
+        chosen = [int(np.argmax(alone))]
+        best, share = float(alone[chosen[0]]), np.ones(1)
         while len(chosen) < len(self.names):
-            rest = [i for i in range(len(self.names)) if i not in chosen]
+            # The log-likelihood is concave in the shares, so its slope towards a language
+            # bounds what that language can add; most need no expectation-maximisation.
+            most = (p / (share @ p[chosen])) @ n - n.sum()
+            rest = [i for i in range(len(p)) if i not in chosen and most[i] > penalty]
             tried = {i: self._mixture(p[[*chosen, i]], n) for i in rest}
-            i = max(rest, key=lambda r: tried[r][0])
-            if chosen and tried[i][0] - best <= penalty:
+            i = max(rest, key=lambda r: tried[r][0], default=None)
+            if i is None or tried[i][0] - best <= penalty:
                 break
             best, share = tried[i]
             chosen.append(i)
