@@ -34,7 +34,7 @@ from sequon.operators.machine import (  # noqa: E402
 from sequon.operators.runs import run_alerts, run_lengths  # noqa: E402
 from sequon.operators.sequence import Pattern, Step, as_map, by_status, match, step_row  # noqa: E402
 from sequon.operators.words import word_count  # noqa: E402
-from sequon.plans.segments import SEGMENT_ROWS, plan_segments  # noqa: E402
+from sequon.plans.segments import plan_segments  # noqa: E402
 from sequon.sources.lines import parse_lines, parse_or_quarantine  # noqa: E402
 from sequon.sources.sinks import labelled, read_output, write_outputs  # noqa: E402
 from sequon.sources.tables import arriving, table  # noqa: E402
@@ -62,9 +62,8 @@ def _hot_events(spark: SparkSession, folder: str) -> DataFrame:
     return _hot(_events(spark, folder))
 
 
-def _cut(events: DataFrame) -> int:
-    """Rows per segment few enough that the hot key is cut at any table size."""
-    return min(SEGMENT_ROWS, max(400, events.count() // 100_000))
+#: Rows per segment of the hot-key queries: few, so that the key is cut in small tables too.
+HOT_SEGMENT_ROWS = 1_000
 
 
 def _us(ts: str | Column) -> Column:
@@ -114,7 +113,7 @@ def _pattern_pending(spark: SparkSession, folder: str) -> DataFrame:
 
 def _pattern_hot_key(spark: SparkSession, folder: str) -> DataFrame:
     events = _hot_events(spark, folder)
-    return _outcome(_matches(events, segment_rows=_cut(events)))
+    return _outcome(_matches(events, segment_rows=HOT_SEGMENT_ROWS))
 
 
 def _pattern_paid(spark: SparkSession, folder: str) -> DataFrame:
@@ -195,7 +194,7 @@ def _run_lengths(spark: SparkSession, folder: str) -> DataFrame:
 
 def _run_alert_hot_key(spark: SparkSession, folder: str) -> DataFrame:
     events = _hot_events(spark, folder)
-    alerts = run_alerts(events, USER, ORDER, _type("error"), segment_rows=_cut(events))
+    alerts = run_alerts(events, USER, ORDER, _type("error"), segment_rows=HOT_SEGMENT_ROWS)
     return alerts.select("event_id", "user_id")
 
 
@@ -328,7 +327,7 @@ def _fsm_funnel(spark: SparkSession, folder: str) -> DataFrame:
 
 def _fsm_hot_key(spark: SparkSession, folder: str) -> DataFrame:
     events = _hot_events(spark, folder)
-    return _states(events, _funnel(), segment_rows=_cut(events))
+    return _states(events, _funnel(), segment_rows=HOT_SEGMENT_ROWS)
 
 
 def _word_count(spark: SparkSession, folder: str) -> DataFrame:
@@ -360,7 +359,7 @@ def _stream_pattern(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stream_pattern_hot_key(spark: SparkSession, folder: str) -> DataFrame:
     past = _hot_events(spark, folder)
-    segments = plan_segments(past, USER, ORDER, _cut(past))
+    segments = plan_segments(past, USER, ORDER, HOT_SEGMENT_ROWS)
     stream = _hot(_event_stream(spark, folder))
     out = _run_outputs(spark, _stream_matches(stream, segments=segments), "status")
     return _outcome(spark.read.parquet(out))

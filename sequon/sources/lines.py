@@ -14,32 +14,30 @@ from pyspark.sql import functions as F
 _WHOLE = r"^[+-]?[0-9]+\z"
 
 
-def parse_lines(df: DataFrame, line: str = "value") -> DataFrame:
-    """Records; the first bad line fails the query."""
+def _record(line: str) -> tuple[Column, Column, Column]:
+    """id, ts and vc; a number that is missing or wrong is null."""
     # The fourth piece is all the rest.
     fields = F.split(line, ",", 4)
 
     def number(at: int, kind: str) -> Column:
-        # Short lines fail on the index, numbers out of range on the cast.
-        field = fields[at]
-        wrong = F.raise_error(F.concat(F.lit("not a sensor line: "), F.coalesce(line, F.lit("null"))))
-        return F.when(field.rlike(_WHOLE), field.cast(kind)).otherwise(wrong.cast(kind))
+        field = F.get(fields, F.lit(at))
+        return F.when(field.rlike(_WHOLE), field.try_cast(kind))
 
-    return df.select(
-        fields[0].alias("id"), number(1, "bigint").alias("ts"), number(2, "int").alias("vc")
-    )
+    return F.get(fields, F.lit(0)), number(1, "bigint"), number(2, "int")
 
 
-def parse_or_quarantine(df: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Records of the good lines, and the bad lines as they were."""
-    # The fourth piece is all the rest.
-    fields = F.split(line, ",", 4)
+def parse_lines(df: DataFrame, line: str = "value") -> DataFrame:
+    """Records; the first bad line fails the query, whatever is read of the records."""
+    name, ts, vc = _record(line)
+    wrong = F.raise_error(F.concat(F.lit("not a sensor line: "), F.coalesce(line, F.lit("null"))))
+    # In a filter, which column pruning cannot take away.
+    good = F.when(ts.isNotNull() & vc.isNotNull(), True).otherwise(wrong.cast("boolean"))
+    return df.where(good).select(name.alias("id"), ts.alias("ts"), vc.alias("vc"))
 
-    def number(at: int, kind: str) -> Column:
-        field = F.get(fields, F.lit(at))
-        return F.when(field.rlike(_WHOLE), field.try_cast(kind))
 
-    ts, vc = number(1, "bigint"), number(2, "int")
+def parse_or_quarantine(df: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Records of the good lines, and the bad lines as they were."""
+    name, ts, vc = _record(line)
     good = ts.isNotNull() & vc.isNotNull()
-    records = df.where(good).select(fields[0].alias("id"), ts.alias("ts"), vc.alias("vc"))
+    records = df.where(good).select(name.alias("id"), ts.alias("ts"), vc.alias("vc"))
     return records, df.where(~good).select(line)

@@ -133,8 +133,14 @@ class KeptState(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         state = self.state.get()[0] if self.state.exists() else 0
         # A stretch keeps its reported rows in front of its moves.
+        # Nulls come first, as Spark sorts them.
         pieces = sorted(
-            rows, key=lambda r: (*[r[n] for n in self.order], r[_MOVES] is not None, r[_AT])
+            rows,
+            key=lambda r: (
+                *[(r[n] is not None, r[n]) for n in self.order],
+                r[_MOVES] is not None,
+                r[_AT],
+            ),
         )
         for piece in pieces:
             if piece[_MOVES] is not None:

@@ -274,4 +274,5 @@ class FollowedBy(StatefulProcessor):
 
 
 def _in_order(step: tuple) -> tuple:
-    return step[0], step[1]
+    # A null tie comes first, as Spark sorts it.
+    return step[0], step[1] is not None, step[1]

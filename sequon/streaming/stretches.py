@@ -28,7 +28,10 @@ def reduce_stretches(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled = [b for b in batches if b.num_rows]
         if filled:
-            rows = pa.Table.from_batches(filled).sort_by(sort_by)
+            rows = pa.Table.from_batches(filled)
+            # Nulls first, as Spark sorts them.
+            places = pc.sort_indices(rows, sort_keys=sort_by, null_placement="at_start")
+            rows = rows.take(places)
             yield from reduce(rows, stretch_starts(rows, keys))
 
     return flat.repartitionByRange(*keys, *order).mapInArrow(run, schema)

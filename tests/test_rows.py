@@ -63,6 +63,20 @@ def test_bad_line_fails(spark, line):
         parse_lines(lines(spark, [line])).collect()
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("line", BAD)
+def test_bad_line_fails_whatever_is_read(spark, line, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        found = parse_lines(lines(spark, [*GOOD, line]))
+        for run in (found.count, found.select("id").collect, found.groupBy("id").count().collect):
+            with pytest.raises(PySparkException):
+                run()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_quarantine(spark):
     good, bad = parse_or_quarantine(lines(spark, [*GOOD, *BAD]))
     assert good.schema == SENSOR
@@ -123,9 +137,25 @@ def test_outputs_have_their_own_folders(spark, tmp_path):
     assert [r.id for r in read_output(spark, str(tmp_path / "out"), "timeout").collect()] == [2]
 
 
-def test_console(spark, capsys):
-    to_console(spark.createDataFrame([(1,)], "id int"), "payed")
-    assert "payed" in capsys.readouterr().out
+def test_console_prints_every_row(spark, capsys):
+    to_console(spark.range(25).toDF("id"), "payed")
+    assert capsys.readouterr().out.split("\n") == [*(f"payed\t{i}" for i in range(25)), ""]
+    to_console(spark.range(25).toDF("id"), "payed", rows=3)
+    assert capsys.readouterr().out.count("payed") == 3
+
+
+def test_outputs_are_not_overwritten_unasked(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "payed")], "id int, status string")
+    write_outputs(rows, str(tmp_path / "out"))
+    with pytest.raises(PySparkException):
+        write_outputs(rows, str(tmp_path / "out"))
+    write_outputs(rows, str(tmp_path / "out"), mode="overwrite")
+
+
+def test_streams_need_a_checkpoint(spark, tmp_path):
+    stream = spark.readStream.format("rate").load().selectExpr("value", "'payed' AS status")
+    with pytest.raises(ValueError, match="checkpoint"):
+        write_outputs(stream, str(tmp_path / "out"))
 
 
 def test_words_of_nothing(spark):
