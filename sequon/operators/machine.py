@@ -55,8 +55,6 @@ class Machine:
             raise ValueError("the matched and ended states cannot have rules")
         named = [self.initial, *[r.state for r in rules], *[r.target for r in rules]]
         states = [s for s in dict.fromkeys(named) if s not in (self.matched, self.ended)]
-        if len(states) > 127:
-            raise ValueError("a machine has at most 127 states")
         object.__setattr__(self, "states", tuple(states))
         object.__setattr__(self, "events", tuple(dict.fromkeys(r.event for r in rules)))
 
@@ -70,7 +68,8 @@ class Machine:
         number = {s: i for i, s in enumerate(self.states)}
         symbol = {e: i for i, e in enumerate(self.events)}
         shape = (len(self.events) + 1, len(self.states))
-        moves = np.full(shape, number[self.initial], dtype=np.int8)
+        # The narrowest signed integers that hold all states.
+        moves = np.full(shape, number[self.initial], np.min_scalar_type(-len(self.states)))
         reports = np.zeros(shape, dtype=bool)
         for rule in reversed(self.rules):
             cell = symbol[rule.event], number[rule.state]
@@ -130,7 +129,7 @@ def run_machine(
         traced = traced.join(
             F.broadcast(_entries(placed.where(HOT), segments, moves)), segments.group, "left"
         )
-        before = F.get(_BEFORE, F.coalesce("__entry", F.lit(0).cast("byte")).cast("int"))
+        before = F.get(_BEFORE, F.coalesce(F.col("__entry").cast("int"), F.lit(0)))
     cell = F.col(_SYMBOL) * len(machine.states) + before
     after = F.get(F.lit(moves.ravel().tolist()), cell)
     return traced.select(
@@ -160,11 +159,11 @@ def _traced(
     """
     rows, marks = _in_order(placed, group, order, passed)
     fields = placed.select(*passed).schema
-    schema = T.StructType([*fields, T.StructField(_BEFORE, T.ArrayType(T.ByteType()))])
+    schema = T.StructType([*fields, T.StructField(_BEFORE, T.ArrayType(state_type(moves)))])
     names = schema.names
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = np.arange(moves.shape[1], dtype=np.int8)
+        last = np.arange(moves.shape[1], dtype=moves.dtype)
         for batch, starts in _with_starts(batches, marks):
             before, last = states_before(_steps(batch, moves), starts, last, entry)
             columns = [*batch.select(names[:-1]).columns, lists(before)]
@@ -181,10 +180,10 @@ def _entries(hot: DataFrame, segments: Segments, moves: np.ndarray) -> DataFrame
     """
     rows, marks = _in_order(hot, segments.group, segments.order, [*segments.group, _SYMBOL])
     fields = hot.select(*segments.group).schema
-    schema = T.StructType([*fields, T.StructField(_MOVES, T.ArrayType(T.ByteType()))])
+    schema = T.StructType([*fields, T.StructField(_MOVES, T.ArrayType(state_type(moves)))])
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, open_group = np.arange(moves.shape[1], dtype=np.int8), None
+        last, open_group = np.arange(moves.shape[1], dtype=moves.dtype), None
         for batch, starts in _with_starts(batches, marks):
             ended = last
             before, last = states_before(_steps(batch, moves), starts, last, None)
@@ -264,6 +263,11 @@ def lists(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()))
 
 
+def state_type(moves: np.ndarray) -> T.DataType:
+    """Spark's type for the numbers of states in ``moves``."""
+    return {1: T.ByteType(), 2: T.ShortType(), 4: T.IntegerType()}[moves.dtype.itemsize]
+
+
 def states_before(
     step: np.ndarray, starts: np.ndarray, carried: np.ndarray, entry: int | None
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -276,12 +280,12 @@ def states_before(
     longer depends on the state it began in.
     """
     states = step.shape[1]
-    identity = np.arange(states, dtype=np.int8)
+    identity = np.arange(states, dtype=step.dtype)
     # Row 0 stands for all that came before the batch.
     done = np.concatenate(([carried], step))
     begins = np.concatenate(([True], starts))
     if entry is not None:
-        fixed = np.full(states, entry, dtype=np.int8)
+        fixed = np.full(states, entry, dtype=step.dtype)
         done[begins] = np.take_along_axis(done[begins], fixed[None, :].astype(np.intp), axis=1)
         if starts[0]:
             done[0] = fixed

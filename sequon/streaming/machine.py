@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from sequon.model import has_key
-from sequon.operators.machine import Machine, lists, states_before
+from sequon.operators.machine import Machine, lists, state_type, states_before
 from sequon.streaming.folders import keep_state_on_disk
 from sequon.streaming.kept import plain, typed
 from sequon.streaming.stretches import reduce_stretches
@@ -51,16 +51,16 @@ def machine_stream(
         *[plain(df, c).alias(n) for c, n in zip(keep, kept_names)],
         machine.symbol(event).alias(_SYMBOL),
     )
+    moves, reports = machine.table()
     fields = {f.name: T.StructField(f.name, f.dataType) for f in flat.schema}
     pieces = T.StructType(
         [
             *[fields[n] for n in (*key_names, *order_names, *kept_names)],
             T.StructField(_AT, T.LongType()),
             T.StructField(_WHEN, T.ArrayType(T.BooleanType())),
-            T.StructField(_MOVES, T.ArrayType(T.ByteType())),
+            T.StructField(_MOVES, T.ArrayType(state_type(moves))),
         ]
     )
-    moves, reports = machine.table()
 
     def reduce(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         return reduced(rows, starts, moves, reports, key_names, order_names, kept_names)
@@ -68,7 +68,7 @@ def machine_stream(
     stretches = reduce_stretches(flat, key_names, order_names, pieces, reduce)
     out = T.StructType([fields[n] for n in (*key_names, *kept_names)])
     alerts = stretches.groupBy(*key_names).transformWithState(
-        KeptState(out, order_names, ttl_ms),
+        KeptState(out, order_names, ttl_ms, state_type(moves)),
         out,
         outputMode="Append",
         timeMode="None" if ttl_ms is None else "ProcessingTime",
@@ -96,7 +96,7 @@ def reduced(
     """
     symbol = rows.column(_SYMBOL).to_numpy()
     step, states = moves[symbol], moves.shape[1]
-    before, _ = states_before(step, starts, np.arange(states, dtype=np.int8), None)
+    before, _ = states_before(step, starts, np.arange(states, dtype=moves.dtype), None)
     when = np.take_along_axis(reports[symbol], before.astype(np.intp), axis=1)
     first = np.flatnonzero(starts)
     last = np.append(first[1:], rows.num_rows) - 1
@@ -109,7 +109,7 @@ def reduced(
     names = [*keys, *order, *kept, _AT, _WHEN, _MOVES]
     if len(reported):
         columns = [*taken(keys, reported), *taken(order, first[stretch]), *taken(kept, reported)]
-        none = pa.nulls(len(reported), pa.list_(pa.int8()))
+        none = pa.nulls(len(reported), pa.list_(pa.from_numpy_dtype(moves.dtype)))
         columns += [pa.array(reported), lists(when[reported]), none]
         yield from pa.table(columns, names=names).to_batches()
     after = np.take_along_axis(step[last], before[last].astype(np.intp), axis=1)
@@ -122,12 +122,15 @@ def reduced(
 class KeptState(StatefulProcessor):
     """Runs the stretches of one key through its state."""
 
-    def __init__(self, out: T.StructType, order: Sequence[str], ttl_ms: int | None):
+    def __init__(
+        self, out: T.StructType, order: Sequence[str], ttl_ms: int | None, kind: T.DataType
+    ):
         self.result, self.order, self.ttl_ms = Row(*out.names), list(order), ttl_ms
+        self.kind = kind
         self.kept = [n for n in out.names if n.startswith("kept")]
 
     def init(self, handle) -> None:
-        kind = T.StructType([T.StructField("state", T.ByteType())])
+        kind = T.StructType([T.StructField("state", self.kind)])
         self.state = handle.getValueState("state", kind, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:

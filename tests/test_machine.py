@@ -121,6 +121,17 @@ def test_several_and_odd_keys(spark, segment_rows, batch_rows):
     assert {r.place: (r.state, r.matched) for r in found.collect()} == expected
 
 
+@pytest.mark.parametrize("segment_rows", [2_000_000, 100])
+def test_three_hundred_states(spark, segment_rows):
+    n = 300
+    rules = [Rule(f"S{i}", "on", f"S{(i + 1) % n}") for i in range(n)]
+    ring = Machine("S0", (*rules, *(Rule(f"S{i}", "ask", "Matched") for i in range(250, n))))
+    trace = (["on"] * 280 + ["ask", "on"]) * 3
+    found = traced(spark, ring, trace, segment_rows=segment_rows)
+    assert found == interpret(ring, trace)
+    assert any(alert for _, alert in found)
+
+
 def test_nested_keys_are_refused(spark):
     data = spark.createDataFrame([([1], 1, "fail")], "key array<int>, place int, kind string")
     with pytest.raises(TypeError):

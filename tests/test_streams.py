@@ -254,6 +254,22 @@ def test_machine(spark, tmp_path, machine):
     same_alerts(spark, tmp_path, machine)
 
 
+def test_machine_with_null_places(spark, tmp_path):
+    """Nulls come first in an order, as they do in tables."""
+    rows = [
+        ("k", i, i if i % 5 else None, "success" if i % 11 == 0 else "fail") for i in range(200)
+    ]
+    kinds = spark.createDataFrame(rows, "key string, seq int, tie int, kind string")
+    kinds.coalesce(1).write.parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema(kinds.schema).parquet(str(tmp_path / "in"))
+    args = (ALERT, ["key"], ["tie", "seq"], F.col("kind"))
+    found = machine_stream(source, *args, keep=["seq"]).withColumn("label", F.lit("warning"))
+    finish(write_outputs(found, str(tmp_path / "out"), str(tmp_path / "progress"), "label"))
+    out = read_output(spark, str(tmp_path / "out"), "warning", "label")
+    expected = machine_alerts(kinds, *args)
+    assert sorted(r.seq for r in out.collect()) == sorted(r.seq for r in expected.collect())
+
+
 def test_machine_with_expiry(spark, tmp_path):
     """Such a query never ends by itself."""
     add_files(tmp_path / "in", shuffled(ALERT))
