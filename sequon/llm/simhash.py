@@ -32,7 +32,7 @@ QUARTERS, WIDTH = 4, 16
 _CHUNK = 1 << 16
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-#: Nodes that may be broadcast with their class: 24 bytes each.
+#: Nodes that may be broadcast with their class: 32 bytes each.
 BROADCAST_NODES = 1_000_000
 
 
@@ -186,12 +186,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(digests: DataFrame, radius: int = 2) -> DataFrame:
-    """``fp`` and ``component_id`` of every fingerprint in ``digests`` (doc_id, fp)."""
+    """``fp``, ``root`` and ``component_id`` of every fingerprint in ``digests`` (doc_id, fp).
+
+    The root tells components apart; a ``component_id`` may be null or shared.
+    """
     nodes = kept(digests.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(nodes, radius))
     rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(ids, "root").select("fp", "component_id")
+    return rooted.join(ids, "root").select("fp", "root", "component_id")
 
 
 def near_copies(docs: DataFrame, radius: int = 2) -> DataFrame:
@@ -207,8 +210,8 @@ def near_copies(docs: DataFrame, radius: int = 2) -> DataFrame:
 def one_of_each(docs: DataFrame, radius: int = 2) -> DataFrame:
     """One row of each component, the one with the least id, with all its columns.
 
-    Rows with that id and the same component are all copies of one document; the first by
-    place in the table stays.
+    Of several rows with that id, or where all ids are null, the first by place in the table
+    stays. Null and repeated ids join nothing: components are told apart by their texts.
     """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     placed = kept(
@@ -221,7 +224,7 @@ def one_of_each(docs: DataFrame, radius: int = 2) -> DataFrame:
     digests = placed.select(F.col("row.doc_id").alias("doc_id"), "fp", "at")
     of_fp = kept(classes(digests.select("doc_id", "fp"), radius))
     known = digests.join(small(of_fp, BROADCAST_NODES), "fp")
-    first = known.groupBy("component_id").agg(
+    first = known.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "at")).alias("f")
     )
     return placed.join(first.select(F.col("f.at").alias("at")), "at", "left_semi").select("row.*")
