@@ -3,8 +3,8 @@
 A candidate is a run of key characters with a digit and a letter or a dash, or a long run
 of either, inside a word. The forest sees its length, the kinds of characters and the changes
 between them, how much of it common words cover, path marks, and the words next to it. It
-is trained on findings with a label, of which at most ``TRAIN_ROWS`` are used, chosen by
-hash. Without findings of both labels there is no forest, and every candidate takes the one
+is trained on all different findings with a label, both labels weighing the same however rare
+one is. Without findings of both labels there is no forest, and every candidate takes the one
 label there is, or none.
 
 Null and empty texts have no candidates. Repeated rows are scanned each on its own.
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from sequon.llm.common import GAP, crc32_text, kept
 
 CANDIDATE = r"[A-Za-z0-9_+/=-]{16,}"
-#: Findings a forest is trained on, at most.
-TRAIN_ROWS = 20_000
+#: Findings to train on in one partition.
+PART_ROWS = 20_000
 #: Common words, of three letters or more, that make up the dictionary.
 DICTIONARY = 200
 #: Words that name a secret when it is assigned.
@@ -134,24 +134,33 @@ class Scanner:
         return scored.select(*found.columns, vector_to_array("probability")[1].alias("score"))
 
 
-def train(labelled: DataFrame, common: list[str], rows: int = TRAIN_ROWS) -> Scanner:
-    """From findings with ``label`` 0 or 1."""
-    place = [crc32_text("candidate"), "candidate", "before", "before2", "after", "label"]
-    # Equal findings say one thing once, so a group of copies does not take all places.
-    known = labelled.select("candidate", "before", "before2", "after", "label").distinct()
-    picked = kept(known.orderBy(*place).limit(rows))
-    labels = {r.label for r in picked.select("label").distinct().collect()}
-    if len(labels) < 2:
-        return Scanner(None, float(max(labels, default=0)), common)
+def train(labelled: DataFrame, common: list[str]) -> Scanner:
+    """From findings with ``label`` 0 or 1; those without are left out."""
+    own = ["candidate", "before", "before2", "after", "label"]
+    # Equal findings say one thing once, so a group of copies does not weigh more.
+    known = kept(labelled.where("label in (0, 1)").select(*own).distinct())
+    rows = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
+    if len(rows) < 2:
+        return Scanner(None, float(max(rows, default=0)), common)
+    total = sum(rows.values())
+    weight = F.when(F.col("label") == 1, total / (2 * rows[1])).otherwise(total / (2 * rows[0]))
+    # Trees draw rows by place, so places follow from the rows alone.
+    placed = known.repartition(-(-total // PART_ROWS), *own).sortWithinPartitions(
+        crc32_text("candidate"), *own
+    )
     words = ["before_word", "before2_word", "after_word"]
+    forest = RandomForestClassifier(
+        numTrees=20, maxDepth=6, seed=7, labelCol="label", weightCol="weight"
+    )
     stages = Pipeline(
         stages=[
             FeatureHasher(inputCols=words, outputCol="near", numFeatures=64),
             VectorAssembler(inputCols=[*_PLAIN, "near"], outputCol="features"),
-            RandomForestClassifier(numTrees=20, maxDepth=6, seed=7, labelCol="label"),
+            forest,
         ]
     )
-    return Scanner(stages.fit(features(picked, common)), 0.0, common)
+    taught = features(placed, common).withColumn("weight", weight)
+    return Scanner(stages.fit(taught), 0.0, common)
 
 
 def scan(docs: DataFrame, labels=assigned, threshold: float = 0.5) -> DataFrame:
