@@ -81,7 +81,7 @@ def op6_lm(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     target = _labelled(spark, folder, "quality", docs)
     models = lm.learn(target.select((F.col("label") == 1).alias("target"), "text"))
-    return docs.select("doc_id", lm.score(spark, "text", models).alias("s")).select(
+    return lm.scored(docs, models).select(
         "doc_id",
         "s.n_tokens",
         *(F.round(f"s.{c}", 6).alias(c) for c in ("target_loss", "background_loss", "score")),
