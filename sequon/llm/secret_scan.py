@@ -1,11 +1,16 @@
 """Secrets in texts: candidates by form, false positives out by a random forest.
 
-A candidate is a run of key characters with a digit and a letter or a dash, or a long run
-of either, inside a word. The forest sees its length, the kinds of characters and the changes
-between them, how much of it common words cover, path marks, and the words next to it. It
-is trained on all different findings with a label, both labels weighing the same however rare
-one is. Without findings of both labels there is no forest, and every candidate takes the one
-label there is, or none.
+A candidate is a run of at least 16 key characters with a digit or a change of case inside
+it, or any value that is assigned to a secret's name (``NAME=value`` in one word, or over
+up to three words, quoted or not); ``=`` belongs to a candidate only at its end. Assigned
+values without both a letter and a digit have no label by form unless they are long and have
+a digit: the forest is not taught them and judges them like the rest.
+
+The forest sees a candidate's length, the kinds of characters and the changes between them,
+how much of it common words cover, path marks, and the words next to it. It is trained on all
+different findings with a label, both labels weighing the same however rare one is. Without
+findings of both labels there is no forest, and every candidate takes the one label there is,
+or none.
 
 Null and empty texts have no candidates. Repeated rows are scanned each on its own.
 """
@@ -21,53 +26,82 @@ from pyspark.sql import functions as F
 
 from sequon.llm.common import GAP, crc32_text, kept
 
-CANDIDATE = r"[A-Za-z0-9_+/=-]{16,}"
+#: Words that name a secret when it is assigned.
+NAMES = ("token", "key", "secret", "password", "passwd", "apikey", "api_key", "access_key")
+LONG = 16
+_KEY = "A-Za-z0-9_+/-"
+#: A whole run of key characters, not a name that is assigned to, with its padding.
+CANDIDATE = rf"(?<![{_KEY}])[{_KEY}]{{{LONG},}}+(?!=+[{_KEY}])={{0,2}}"
+#: Up to the value: words here are parted by one blank.
+_ASSIGNED = rf"(?i:{'|'.join(NAMES)})[_0-9]{{0,4}}[\"'`\]]{{0,2}}[ \n]?[=:]{{1,2}}"
+#: A value just after a secret's name, of any length; other signs may be inside it.
+_VALUE = rf"(?<={_ASSIGNED}[ \n]?[\"'`]{{0,2}})[@!#$%^*~.{_KEY}]*[{_KEY}]={{0,2}}"
 #: Findings to train on in one partition.
 PART_ROWS = 20_000
 #: Common words, of three letters or more, that make up the dictionary.
 DICTIONARY = 200
-#: Words that name a secret when it is assigned.
-NAMES = ("token", "key", "secret", "password", "passwd", "apikey", "api_key", "access_key")
 MASK = "[SECRET]"
 _PLAIN = ["length", "digits", "upper", "marks", "slashes", "changes", "distinct", "dictionary"]
 
 
 def candidates(docs: DataFrame, at: str = "at", text: str = "text") -> DataFrame:
     """(at, candidate, before, before2, after): every candidate with the words around it."""
-    words = F.split(F.coalesce(F.col(text), F.lit("")), GAP)
     rows = docs.select(
         F.col(at).alias("at"),
         F.col(text).alias("text"),
-    ).where(F.col("text").rlike(CANDIDATE))
+    ).where(F.col("text").rlike(rf"[{_KEY}]{{{LONG}}}|[=:]"))
     listed = rows.select("at", F.split("text", GAP).alias("words"))
+    # The two words before stand ahead of a word's own line, where no match may begin.
+    each_match = rf"(?s)(?:\G(?!^)|^[^\n]*\n)(.*?)({CANDIDATE}|{_VALUE})"
+
+    def word(i: Column) -> Column:
+        return F.coalesce(F.get("words", i), F.lit(""))
 
     def around(x: Column, i: Column) -> Column:
+        line = F.concat(word(i - 2), F.lit(" "), word(i - 1), F.lit("\n"), x)
         return F.struct(
-            F.regexp_extract_all(x, F.lit(CANDIDATE), 0).alias("own"),
+            F.arrays_zip(
+                F.regexp_extract_all(line, F.lit(each_match), 2).alias("candidate"),
+                F.regexp_extract_all(line, F.lit(each_match), 1).alias("lead"),
+            ).alias("own"),
             F.get("words", i - 1).alias("before"),
             F.get("words", i - 2).alias("before2"),
             F.get("words", i + 1).alias("after"),
-            F.regexp_extract(x, "^(.*?)" + CANDIDATE, 1).alias("lead"),
         )
 
-    long = F.transform(
-        "words", lambda x, i: F.when(F.length(x) >= 16, around(x, i))
-    )
+    def may_have(x: Column, i: Column) -> Column:
+        # A sign of assignment in the word or at the end of the one before.
+        signs = x.rlike("[=:].") | word(i - 1).rlike("[=:][\"'`]{0,2}$")
+        return (F.length(x) >= LONG) | signs
+
+    long = F.transform("words", lambda x, i: F.when(may_have(x, i), around(x, i)))
     found = listed.select("at", F.explode(F.array_compact(long)).alias("f"))
-    each = found.select("at", F.explode("f.own").alias("candidate"), "f.*")
-    mixed = F.col("candidate").rlike("[0-9]") | F.col("candidate").rlike("[a-z][A-Z]+[a-z]")
+    each = found.select("at", F.explode("f.own").alias("one"), "f.*").select(
+        "at", "one.candidate", "one.lead", "before", "before2", "after"
+    )
 
     def plain(word: Column) -> Column:
         return F.lower(F.regexp_replace(F.coalesce(word, F.lit("")), r"[^A-Za-z_=:]", ""))
 
     lead = plain(F.col("lead"))
-    return each.where(mixed).select(
+    placed = each.select(
         "at",
         "candidate",
         F.when(lead != "", lead).otherwise(plain(F.col("before"))).alias("before"),
         F.when(lead != "", plain(F.col("before"))).otherwise(plain(F.col("before2"))).alias("before2"),
         plain(F.col("after")).alias("after"),
     )
+    own = F.col("candidate")
+    mixed = own.rlike("[0-9]") | own.rlike("[a-z][A-Z]+[a-z]")
+    return placed.where(
+        (mixed & (F.length(own) >= LONG)) | (named() & own.rlike("[A-Za-z0-9]"))
+    )
+
+
+def named() -> Column:
+    """Whether a finding is assigned to a secret's name."""
+    names = F.concat(F.col("before2"), F.col("before"))
+    return names.rlike("(" + "|".join(NAMES) + ")_*[=:]+$")
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY) -> list[str]:
@@ -93,7 +127,7 @@ def features(found: DataFrame, common: list[str]) -> DataFrame:
         covered = 1 - F.length(rest) / size
     near = [
         F.when(F.col(c).isin(*NAMES, "=", ":", "=:", ""), F.col(c))
-        .when(F.col(c).rlike("(" + "|".join(NAMES) + ")[=:]*$"), F.lit("named"))
+        .when(F.col(c).rlike("(" + "|".join(NAMES) + ")_*[=:]*$"), F.lit("named"))
         .otherwise(F.lit("word"))
         .alias(f"{c}_word")
         for c in ("before", "before2", "after")
@@ -113,11 +147,14 @@ def features(found: DataFrame, common: list[str]) -> DataFrame:
 
 
 def assigned(found: DataFrame) -> Column:
-    """A label by form: issued prefixes, or a mixed value assigned to a secret's name."""
-    issued = F.col("candidate").rlike("^(AKIA[0-9A-Z]{16}|gh[pousr]_|xox[bp]-|sk_live_)")
-    names = F.concat(F.col("before2"), F.col("before"))
-    named = names.rlike("(" + "|".join(NAMES) + ")[=:]+$")
-    return (issued | (named & F.col("candidate").rlike("[0-9]"))).cast("int")
+    """A label by form: issued prefixes, or a mixed value assigned to a secret's name.
+
+    Null for an assigned value that is not mixed: its form says nothing.
+    """
+    own = F.col("candidate")
+    issued = own.rlike("^(AKIA[0-9A-Z]{16}|gh[pousr]_|xox[bp]-|sk_live_)")
+    mixed = own.rlike("[0-9]") & (own.rlike("[A-Za-z]") | (F.length(own) >= LONG))
+    return F.when(issued | (named() & mixed), 1).when(~named(), 0)
 
 
 class Scanner:
@@ -194,14 +231,20 @@ def scan(docs: DataFrame, labels=assigned, threshold: float = 0.5) -> DataFrame:
 
 
 def masked(text: Column, secrets: Column) -> Column:
-    """The text with every secret replaced, longest first."""
+    """The text with every secret replaced, longest first; a short one only as a whole word."""
     longest = F.reverse(
         F.array_sort(F.transform(secrets, lambda s: F.struct(F.length(s).alias("n"), s.alias("s"))))
     )
-    return F.when(
-        F.size(secrets) > 0,
-        F.aggregate(longest, text, lambda t, s: F.replace(t, s["s"], F.lit(MASK))),
-    ).otherwise(text)
+
+    def without(t: Column, s: Column) -> Column:
+        alone = F.concat(
+            F.lit(r"(?<![A-Za-z0-9])\Q"), s["s"], F.lit(r"\E(?![A-Za-z0-9])")
+        )
+        return F.when(s["n"] >= LONG, F.replace(t, s["s"], F.lit(MASK))).otherwise(
+            F.regexp_replace(t, alone, F.lit(MASK))
+        )
+
+    return F.when(F.size(secrets) > 0, F.aggregate(longest, text, without)).otherwise(text)
 
 
 def redact(docs: DataFrame) -> DataFrame:
