@@ -11,13 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _CHUNK = 1 << 20
+_LETTER = regex.compile(r"\p{L}")
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
 
 
 def letters(text: str | None) -> str:
-    """Lower-case letters, anything else between them as one blank; '' without letters."""
+    """Lower-case letters and marks, anything else between them as one blank; '' without letters."""
+    if not _LETTER.search(text or ""):
+        return ""
     out = _OTHER.sub(" ", (text or "").lower()).strip()
-    return f" {out} " if out else ""
+    return f" {out} "
 
 
 def buckets(text: str, order: int, bits: int) -> Iterator[np.ndarray]:
