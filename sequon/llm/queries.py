@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sequon.llm import (
     bpe,
+    conversations,
     decontaminate,
     language,
     lm,
@@ -141,6 +142,20 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    own = conversations.digests(conversations.repaired(conversations.damaged(rows)))
+    # A conversation that lost all its rows is still one.
+    ids = rows.select("conv_id", conversations.key("conv_id").alias("key")).distinct()
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return ids.join(own, "key", "left").select(
+        "conv_id",
+        *(F.coalesce(f"report.{c}", F.lit(0)).alias(c) for c in counts),
+        F.coalesce("report.audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     "op1_shards": op1_shards,
     "op2_bpe": op2_bpe,
@@ -152,6 +167,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_secrets": op9_secrets,
     "op10_toxicity": op10_toxicity,
+    "op13_conversations": op13_conversations,
 }
 
 _OP7 = r"""
