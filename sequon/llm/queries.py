@@ -11,6 +11,7 @@ from sequon.llm import (
     decontaminate,
     language,
     lm,
+    negatives,
     quality,
     secret_scan,
     shards,
@@ -142,6 +143,14 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("id"), label.alias("label"), F.col("embedding").alias("vector")
+    )
+    return negatives.mine(rows, F.col("id") % 100 == 0)
+
+
 def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
     rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     own = conversations.digests(conversations.repaired(conversations.damaged(rows)))
@@ -167,6 +176,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_secrets": op9_secrets,
     "op10_toxicity": op10_toxicity,
+    "op11_negatives": op11_negatives,
     "op13_conversations": op13_conversations,
 }
 
@@ -234,4 +244,30 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
 
-ORACLE_SQL = {"op7_quality": _OP7, "op8_decontaminate": _OP8}
+_OP11 = r"""
+WITH e AS (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+    SELECT a.r, a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id,
+        list_dot_product(a.v, b.v)::BIGINT AS score
+    FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+    SELECT r, anchor_id, id, score, row_number() OVER (PARTITION BY r ORDER BY score DESC, id) AS k
+    FROM s WHERE same
+), n AS (
+    SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score,
+        s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.r, p.k ORDER BY s.score DESC, s.id) AS rank
+    FROM p JOIN s ON s.r = p.r AND NOT s.same
+        AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+    WHERE p.k <= 5
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 10
+"""
+
+ORACLE_SQL = {"op11_negatives": _OP11, "op7_quality": _OP7, "op8_decontaminate": _OP8}
