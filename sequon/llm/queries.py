@@ -11,6 +11,7 @@ from sequon.llm import (
     decontaminate,
     language,
     lm,
+    main_text,
     negatives,
     quality,
     secret_scan,
@@ -151,6 +152,14 @@ def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.mine(rows, F.col("id") % 100 == 0)
 
 
+def op12_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read(spark, folder, "pages").select("page_id", "url", "html")
+    text = main_text.extract(spark, "html", main_text.learn(pages))
+    return pages.select("page_id", "url", text.alias("text")).withColumn(
+        "n_chars", F.char_length("text").cast("long")
+    )
+
+
 def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
     rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     own = conversations.digests(conversations.repaired(conversations.damaged(rows)))
@@ -177,6 +186,7 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_toxicity": op10_toxicity,
     "op11_negatives": op11_negatives,
+    "op12_main_text": op12_main_text,
     "op13_conversations": op13_conversations,
 }
 
