@@ -120,7 +120,8 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
-    found = secret_scan.scan(read(spark, folder, "documents").select("doc_id", "text"))
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, columns=["doc_id"])
     return found.select(
         "row.doc_id",
         "n_candidates",

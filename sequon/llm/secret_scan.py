@@ -17,6 +17,8 @@ Null and empty texts have no candidates. Repeated rows are scanned each on its o
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import FeatureHasher, VectorAssembler
@@ -24,10 +26,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sequon.llm.common import GAP, crc32_text, kept
+from sequon.llm.common import GAP, crc32_text, kept, let
 
 #: Words that name a secret when it is assigned.
-NAMES = ("token", "key", "secret", "password", "passwd", "apikey", "api_key", "access_key")
+NAMES = (
+    "token", "key", "secret", "password", "passwd", "pwd", "auth", "credential", "apikey", "api_key", "access_key"
+)
+#: Words that speak of secrets without assigning one.
+_SPEAKS = "|".join((*NAMES, "bearer", "private"))
 LONG = 16
 _KEY = "A-Za-z0-9_+/-"
 #: A whole run of key characters, not a name that is assigned to, with its padding.
@@ -44,40 +50,51 @@ MASK = "[SECRET]"
 _PLAIN = ["length", "digits", "upper", "marks", "slashes", "changes", "distinct", "dictionary"]
 
 
-def candidates(docs: DataFrame, at: str = "at", text: str = "text") -> DataFrame:
-    """(at, candidate, before, before2, after): every candidate with the words around it."""
-    rows = docs.select(
-        F.col(at).alias("at"),
-        F.col(text).alias("text"),
-    ).where(F.col("text").rlike(rf"[{_KEY}]{{{LONG}}}|[=:]"))
-    listed = rows.select("at", F.split("text", GAP).alias("words"))
+def listed(text: str | Column) -> Column:
+    """What may be a candidate, with the words around it; empty or null for most texts."""
+    text = F.col(text) if isinstance(text, str) else text
     # The two words before stand ahead of a word's own line, where no match may begin.
     each_match = rf"(?s)(?:\G(?!^)|^[^\n]*\n)(.*?)({CANDIDATE}|{_VALUE})"
 
-    def word(i: Column) -> Column:
-        return F.coalesce(F.get("words", i), F.lit(""))
-
-    def around(x: Column, i: Column) -> Column:
-        line = F.concat(word(i - 2), F.lit(" "), word(i - 1), F.lit("\n"), x)
-        return F.struct(
-            F.arrays_zip(
-                F.regexp_extract_all(line, F.lit(each_match), 2).alias("candidate"),
-                F.regexp_extract_all(line, F.lit(each_match), 1).alias("lead"),
-            ).alias("own"),
-            F.get("words", i - 1).alias("before"),
-            F.get("words", i - 2).alias("before2"),
-            F.get("words", i + 1).alias("after"),
-        )
+    def in_words(words: Column) -> Column:
+        def word(i: Column) -> Column:
+            return F.coalesce(F.get(words, i), F.lit(""))
+
+        def around(x: Column, i: Column) -> Column:
+            line = F.concat(word(i - 2), F.lit(" "), word(i - 1), F.lit("\n"), x)
+            return F.struct(
+                F.arrays_zip(
+                    F.regexp_extract_all(line, F.lit(each_match), 2).alias("candidate"),
+                    F.regexp_extract_all(line, F.lit(each_match), 1).alias("lead"),
+                ).alias("own"),
+                F.get(words, i - 1).alias("before"),
+                F.get(words, i - 2).alias("before2"),
+                F.get(words, i + 1).alias("after"),
+            )
+
+        def may_have(x: Column, i: Column) -> Column:
+            # A sign of assignment in the word or at the end of the one before.
+            signs = x.rlike("[=:].") | word(i - 1).rlike("[=:][\"'`]{0,2}$")
+            return (F.length(x) >= LONG) | signs
+
+        every = F.transform(words, lambda x, i: F.when(may_have(x, i), around(x, i)))
+        return F.filter(every, lambda f: F.size(f["own"]) > 0)
+
+    some = text.rlike(rf"[{_KEY}]{{{LONG}}}|[=:]")
+    return F.when(some, let(F.split(text, GAP), in_words))
 
-    def may_have(x: Column, i: Column) -> Column:
-        # A sign of assignment in the word or at the end of the one before.
-        signs = x.rlike("[=:].") | word(i - 1).rlike("[=:][\"'`]{0,2}$")
-        return (F.length(x) >= LONG) | signs
 
-    long = F.transform("words", lambda x, i: F.when(may_have(x, i), around(x, i)))
-    found = listed.select("at", F.explode(F.array_compact(long)).alias("f"))
-    each = found.select("at", F.explode("f.own").alias("one"), "f.*").select(
-        "at", "one.candidate", "one.lead", "before", "before2", "after"
+def candidates(docs: DataFrame, at: str = "at", text: str = "text") -> DataFrame:
+    """(at, candidate, before, before2, after): every candidate with the words around it."""
+    return _placed(docs.select(F.col(at).alias("at"), listed(text).alias("listed")))
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """One row per candidate of ``listed``, with the other columns."""
+    rest = [c for c in rows.columns if c != "listed"]
+    found = rows.select(*rest, F.explode("listed").alias("f"))
+    each = found.select(*rest, F.explode("f.own").alias("one"), "f.*").select(
+        *rest, "one.candidate", "one.lead", "before", "before2", "after"
     )
 
     def plain(word: Column) -> Column:
@@ -85,7 +102,7 @@ def candidates(docs: DataFrame, at: str = "at", text: str = "text") -> DataFrame
 
     lead = plain(F.col("lead"))
     placed = each.select(
-        "at",
+        *rest,
         "candidate",
         F.when(lead != "", lead).otherwise(plain(F.col("before"))).alias("before"),
         F.when(lead != "", plain(F.col("before"))).otherwise(plain(F.col("before2"))).alias("before2"),
@@ -149,12 +166,14 @@ def features(found: DataFrame, common: list[str]) -> DataFrame:
 def assigned(found: DataFrame) -> Column:
     """A label by form: issued prefixes, or a mixed value assigned to a secret's name.
 
-    Null for an assigned value that is not mixed: its form says nothing.
+    Null where form says nothing: for an assigned value that is not mixed, and for one that
+    stands by a word that speaks of secrets (``Bearer 04db..``, the lines of a private key).
     """
     own = F.col("candidate")
     issued = own.rlike("^(AKIA[0-9A-Z]{16}|gh[pousr]_|xox[bp]-|sk_live_)")
     mixed = own.rlike("[0-9]") & (own.rlike("[A-Za-z]") | (F.length(own) >= LONG))
-    return F.when(issued | (named() & mixed), 1).when(~named(), 0)
+    spoken = F.concat(F.col("before2"), F.lit(" "), F.col("before")).rlike(f"({_SPEAKS})")
+    return F.when(issued | (named() & mixed), 1).when(~named() & ~spoken, 0)
 
 
 class Scanner:
@@ -200,34 +219,53 @@ def train(labelled: DataFrame, common: list[str]) -> Scanner:
     return Scanner(stages.fit(taught), 0.0, common)
 
 
-def scan(docs: DataFrame, labels=assigned, threshold: float = 0.5) -> DataFrame:
-    """(``row``, ``secrets``, ``n_candidates``): each row and the secrets in its text.
+def scan(
+    docs: DataFrame, labels=assigned, threshold: float = 0.5, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """(``row``, ``secrets``, ``n_candidates``, ``max_score``): each row and its secrets.
 
-    ``labels`` gives the label of a finding; the forest learns from all rows but those whose
-    crc32(doc_id) is divisible by 5, and judges every row.
+    ``row`` has all columns, or those named in ``columns``. ``labels`` gives the label of a
+    finding; the forest learns from all rows but those whose crc32(doc_id) is divisible by 5,
+    and judges every row. Only rows that may have candidates, and no more of them than
+    ``row``, are shuffled to meet their findings.
     """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    base = kept(docs.select(row.alias("row"), F.monotonically_increasing_id().alias("at")))
-    texts = base.select("at", F.col("row.text").alias("text"), F.col("row.doc_id").alias("doc_id"))
-    learn = F.coalesce(crc32_text("doc_id") % 5 != 0, F.lit(True))
-    found = kept(candidates(texts))
-    taught = found.join(texts.where(learn).select("at"), "at", "left_semi")
-    scanner = train(taught.withColumn("label", labels(taught)), dictionary(texts))
-    scored = scanner.score(found)
-    per_row = scored.groupBy("at").agg(
-        F.array_sort(
-            F.collect_set(F.when(F.col("score") >= threshold, F.col("candidate")))
-        ).alias("secrets"),
-        F.count("*").alias("n_candidates"),
-        F.max("score").alias("max_score"),
+    base = kept(
+        docs.select(
+            row.alias("row"),
+            F.monotonically_increasing_id().alias("at"),
+            listed("text").alias("listed"),
+        )
+    )
+    learn = F.coalesce(crc32_text("row.doc_id") % 5 != 0, F.lit(True))
+    some = F.coalesce(F.size("listed") > 0, F.lit(False))
+    found = kept(_placed(base.where(some).select("at", learn.alias("learn"), "listed")))
+    taught = found.where("learn").drop("learn")
+    common = dictionary(base.select(F.col("row.text").alias("text")))
+    scanner = train(taught.withColumn("label", labels(taught)), common)
+    per_row = kept(
+        scanner.score(found)
+        .groupBy("at")
+        .agg(
+            F.array_sort(
+                F.collect_set(F.when(F.col("score") >= threshold, F.col("candidate")))
+            ).alias("secrets"),
+            F.count("*").alias("n_candidates"),
+            F.max("score").alias("max_score"),
+        )
     )
-    none = F.array().cast("array<string>")
-    return base.join(per_row, "at", "left").select(
-        "row",
-        F.coalesce("secrets", none).alias("secrets"),
-        F.coalesce("n_candidates", F.lit(0)).alias("n_candidates"),
-        F.round(F.coalesce("max_score", F.lit(0.0)), 6).alias("max_score"),
+    named_columns = docs.columns if columns is None else columns
+    own = F.struct(*(F.col(f"row.`{c}`") for c in named_columns)).alias("row")
+    none = {
+        "secrets": F.array().cast("array<string>"),
+        "n_candidates": F.lit(0).cast("long"),
+        "max_score": F.lit(0.0),
+    }
+    met = base.where(some).select("at", own).join(per_row, "at", "left").select(
+        "row", *(F.coalesce(c, v).alias(c) for c, v in none.items())
     )
+    rest = base.where(~some).select(own, *(v.alias(c) for c, v in none.items()))
+    return met.unionByName(rest).withColumn("max_score", F.round("max_score", 6))
 
 
 def masked(text: Column, secrets: Column) -> Column:
