@@ -3,7 +3,9 @@
 A pre-token that is in the vocabulary as a whole is found by a minimal perfect hash. Any
 other is merged: its bytes are nodes of a linked list, and a heap holds the pairs that
 the vocabulary can merge, lowest rank first. Both tiers give what the rank file defines;
-the second runs once per distinct pre-token while a task remembers it.
+the second runs once per distinct pre-token while a worker process remembers it.
+
+Null and empty texts have no ids; repeated rows are encoded alike; an empty table stays empty.
 
 Ids travel packed, as little-endian unsigned 32-bit integers in one binary value.
 """
@@ -11,24 +13,30 @@ Ids travel packed, as little-endian unsigned 32-bit integers in one binary value
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterator
 from functools import cached_property
+from heapq import heapify, heappop, heappush
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-#: Distinct pre-tokens that a task remembers before it starts anew.
+#: Distinct pre-tokens that a worker process remembers, some 160 bytes each; beyond that the
+#: older half goes.
 REMEMBERED = 100_000
+#: Bytes of a pre-token whose place and rank fit one small integer.
+_SHORT = 127
 #: Slots hold keys per bucket; the first hash chooses the bucket.
 PER_BUCKET = 2
 #: Longer texts are split into pre-tokens piece by piece.
 _CHUNK = 1 << 20
+_OWN = {"_sent", "encoder", "pairs", "tokens"}
 
 
 class PerfectHash:
@@ -97,6 +105,30 @@ class Vocabulary:
         pairs = (line.split() for line in lines if line.strip())
         return cls({base64.b64decode(a): int(b) for a, b in pairs}, pattern)
 
+    def __getstate__(self) -> dict:
+        # What is worked out on first use stays in its process.
+        return {k: v for k, v in self.__dict__.items() if k not in _OWN}
+
+    def sent(self, spark: SparkSession) -> Broadcast:
+        """One broadcast per application, shared by encoding and decoding."""
+        app = spark.sparkContext.applicationId
+        if self.__dict__.get("_sent", (None,))[0] != app:
+            self._sent = app, spark.sparkContext.broadcast(self)
+        return self._sent[1]
+
+    @cached_property
+    def encoder(self) -> Encoder:
+        return Encoder(self)
+
+    @cached_property
+    def pairs(self) -> list[int]:
+        """Rank of every two bytes, -1 where they do not merge."""
+        out = [-1] * 65_536
+        for token, rank in self.ranks.items():
+            if len(token) == 2:
+                out[token[0] << 8 | token[1]] = rank
+        return out
+
     @cached_property
     def tokens(self) -> dict[int, bytes]:
         return {rank: token for token, rank in self.ranks.items()}
@@ -108,18 +140,25 @@ class Vocabulary:
 
     def merged(self, piece: bytes) -> list[int]:
         """Second tier: merge the lowest rank first, from the left among equals."""
-        ranks, n = self.ranks, len(piece)
+        ranks, pairs, n = self.ranks, self.pairs, len(piece)
+        # An entry is rank, first byte and end in one integer, which orders as they do.
+        bits = 7 if n <= _SHORT else n.bit_length()
+        low, two = (1 << bits) - 1, 2 * bits
         # A node is named by its first byte. ends: one past its last byte; 0: merged away.
         ends = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        heap = [
-            (rank, i, i + 2)
-            for i in range(n - 1)
-            if (rank := ranks.get(piece[i : i + 2])) is not None
-        ]
-        heapq.heapify(heap)
+        heap, last = [], piece[0]
+        for i in range(1, n):
+            byte = piece[i]
+            rank = pairs[last << 8 | byte]
+            if rank >= 0:
+                heap.append(rank << two | i - 1 << bits | i + 1)
+            last = byte
+        heapify(heap)
+        get = ranks.get
         while heap:
-            _, left, end = heapq.heappop(heap)
+            entry = heappop(heap)
+            end, left = entry & low, entry >> bits & low
             middle = ends[left]
             # Stale: one of the two nodes has changed since.
             if not middle or middle >= end or ends[middle] != end:
@@ -128,16 +167,19 @@ class Vocabulary:
             if end < n:
                 before[end] = left
                 reach = ends[end]
-                if (rank := ranks.get(piece[left:reach])) is not None:
-                    heapq.heappush(heap, (rank, left, reach))
-            if (first := before[left]) >= 0 and (
-                rank := ranks.get(piece[first:end])
-            ) is not None:
-                heapq.heappush(heap, (rank, first, end))
+                rank = get(piece[left:reach])
+                if rank is not None:
+                    heappush(heap, rank << two | left << bits | reach)
+            first = before[left]
+            if first >= 0:
+                rank = get(piece[first:end])
+                if rank is not None:
+                    heappush(heap, rank << two | first << bits | end)
         out, at = [], 0
         while at < n:
-            out.append(ranks[piece[at : ends[at]]])
-            at = ends[at]
+            end = ends[at]
+            out.append(ranks[piece[at:end]])
+            at = end
         return out
 
 
@@ -152,10 +194,12 @@ class _Remembered(dict):
         data = piece.encode()
         whole = self.vocabulary.whole(data)
         ids = [whole] if whole is not None else self.vocabulary.merged(data)
-        packed = np.array(ids, dtype="<u4").tobytes()
+        packed = b"".join([i.to_bytes(4, "little") for i in ids])
         if len(data) <= 64:
             if len(self) >= REMEMBERED:
-                self.clear()
+                # They stand in the order in which they came.
+                for old in list(islice(self, REMEMBERED // 2)):
+                    del self[old]
             self[piece] = packed
         return packed
 
@@ -179,11 +223,11 @@ class Encoder:
 
 def encode(spark: SparkSession, text: str | Column, vocabulary: Vocabulary) -> Column:
     """Ids of a text, packed; no special tokens. A null or empty text has none."""
-    sent = spark.sparkContext.broadcast(vocabulary)
+    sent = vocabulary.sent(spark)
 
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(sent.value)
+        encoder = sent.value.encoder
         for batch in batches:
             yield pa.array((encoder(x.as_py()) for x in batch), pa.binary())
 
@@ -192,7 +236,7 @@ def encode(spark: SparkSession, text: str | Column, vocabulary: Vocabulary) -> C
 
 def decode(spark: SparkSession, ids: str | Column, vocabulary: Vocabulary) -> Column:
     """Bytes of packed ids; null stays null, an id outside the vocabulary is an error."""
-    sent = spark.sparkContext.broadcast(vocabulary)
+    sent = vocabulary.sent(spark)
 
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
