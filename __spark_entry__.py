@@ -35,11 +35,13 @@ from sequon.operators.runs import run_alerts, run_lengths  # noqa: E402
 from sequon.operators.sequence import Pattern, Step, as_map, by_status, match, step_row  # noqa: E402
 from sequon.operators.words import word_count  # noqa: E402
 from sequon.plans.segments import plan_segments  # noqa: E402
+from sequon.sources.ending import mark_end, replay, run_to_end, with_end  # noqa: E402
 from sequon.sources.lines import parse_lines, parse_or_quarantine  # noqa: E402
 from sequon.sources.sinks import labelled, read_output, write_outputs  # noqa: E402
 from sequon.sources.tables import arriving, table  # noqa: E402
 from sequon.streaming.folders import new_folder  # noqa: E402
 from sequon.streaming.machine import machine_stream  # noqa: E402
+from sequon.streaming.routes import plan_routes  # noqa: E402
 from sequon.streaming.sequence import match_stream  # noqa: E402
 
 USER, ORDER = ["user_id"], ["ts", "event_id"]
@@ -334,45 +336,52 @@ def _word_count(spark: SparkSession, folder: str) -> DataFrame:
     return word_count(table(spark, folder, "documents"), "text")
 
 
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    schema = _events(spark, folder).schema
-    # As a glob, so that the table may be a file or a folder of files.
-    stream = arriving(spark, f"{folder.rstrip('/')}/{{events}}.parquet", schema)
-    return stream.withColumn("ts", utc_time("ts"))
+#: Micro-batches a table is replayed in.
+STREAM_SLICES = 10
 
 
-def _run_outputs(spark: SparkSession, rows: DataFrame, by: str) -> str:
-    folder = new_folder(spark)
-    write_outputs(rows, f"{folder}/out", f"{folder}/progress", by).awaitTermination()
-    return f"{folder}/out"
+def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events as they would have arrived, slice by slice."""
+    events = _events(spark, folder).select("event_id", "ts", "user_id", "event_type")
+    slices = f"{new_folder(spark)}/events"
+    replay(events, slices, "ts", STREAM_SLICES)
+    return arriving(spark, slices, events.schema, 1).withColumn("ts", utc_time("ts"))
 
 
-def _stream_matches(stream: DataFrame, **options) -> DataFrame:
+def _matched_to_end(spark: SparkSession, stream: DataFrame, progress: str | None = None, **options) -> str:
+    """Folder of the matches of a stream that has come to its end."""
     keep = ["event_id", "user_id", "ts"]
-    return match_stream(stream, _purchase(), USER, "ts", "event_id", keep, **options)
+    folder = new_folder(spark)
+    marks, progress = f"{folder}/marks", progress or f"{folder}/progress"
+    ended = with_end(stream, marks)
+    found = match_stream(ended, _purchase(), USER, "ts", "event_id", keep, **options)
+    run_to_end(
+        lambda: write_outputs(found, f"{folder}/out", progress),
+        lambda: mark_end(spark, marks, stream.schema, "ts"),
+    )
+    return f"{folder}/out"
 
 
 def _stream_pattern(spark: SparkSession, folder: str) -> DataFrame:
-    out = _run_outputs(spark, _stream_matches(_event_stream(spark, folder)), "status")
+    out = _matched_to_end(spark, _event_stream(spark, folder))
     return _outcome(spark.read.parquet(out))
 
 
 def _stream_pattern_hot_key(spark: SparkSession, folder: str) -> DataFrame:
-    past = _hot_events(spark, folder)
-    segments = plan_segments(past, USER, ORDER, HOT_SEGMENT_ROWS)
-    stream = _hot(_event_stream(spark, folder))
-    out = _run_outputs(spark, _stream_matches(stream, segments=segments), "status")
+    progress = f"{new_folder(spark)}/progress"
+    segments = plan_segments(_hot_events(spark, folder), USER, ORDER, HOT_SEGMENT_ROWS)
+    routes = plan_routes(spark, progress, USER, segments)
+    out = _matched_to_end(spark, _hot(_event_stream(spark, folder)), progress, routes=routes)
     return _outcome(spark.read.parquet(out))
 
 
 def _stream_pattern_ascending(spark: SparkSession, folder: str) -> DataFrame:
-    stream = _hot(_event_stream(spark, folder))
-    out = _run_outputs(spark, _stream_matches(stream, buffered=False), "status")
+    out = _matched_to_end(spark, _hot(_event_stream(spark, folder)), buffered=False)
     return _outcome(spark.read.parquet(out))
 
 
 def _stream_timeout(spark: SparkSession, folder: str) -> DataFrame:
-    out = _run_outputs(spark, _stream_matches(_event_stream(spark, folder)), "status")
+    out = _matched_to_end(spark, _event_stream(spark, folder))
     create = F.col("create")
     return read_output(spark, out, "timeout").select(
         create["event_id"].alias("create_id"),
@@ -380,6 +389,12 @@ def _stream_timeout(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _run_outputs(spark: SparkSession, rows: DataFrame, by: str) -> str:
+    folder = new_folder(spark)
+    write_outputs(rows, f"{folder}/out", f"{folder}/progress", by).awaitTermination()
+    return f"{folder}/out"
+
+
 def _stream_alerts(spark: SparkSession, stream: DataFrame) -> DataFrame:
     machine = run_alert_machine("error", "view")
     alerts = machine_stream(stream, machine, USER, ORDER, F.col("event_type"), keep=["event_id"])
@@ -516,17 +531,6 @@ SELECT CASE event_type
          ELSE event_type || ',' || event_id || ',2147483648' END AS value
 FROM events WHERE event_type IN ('error', 'view', 'click')"""
 
-# What a stream has seen for certain when it ends: all up to a millisecond before
-# the latest time.
-_SEEN = "(SELECT (epoch_us(max(ts)) // 1000 - 1) * 1000 FROM events)"
-
-
-def _closed_sql(events: str = "events") -> str:
-    return f"""
-SELECT * FROM ({_pattern_sql(events)})
-WHERE coalesce(second_us, first_us + 86400000000) <= {_SEEN}"""
-
-
 def oracle_sql() -> dict[str, str]:
     timeout_text_sql = "'订单 ' || event_id || ' 超时未支付！用户为：' || user_id"
     return {
@@ -607,17 +611,13 @@ FROM events""",
 SELECT word, count(*) AS n
 FROM (SELECT unnest(regexp_split_to_array(text, '\s+')) AS word FROM documents)
 WHERE word <> '' GROUP BY word""",
-        "stream_pattern": _closed_sql(),
-        "stream_pattern_hot_key": _closed_sql(_HOT),
-        # Taken as they come, steps settle a match before the watermark reaches them.
-        "stream_pattern_ascending": f"""
-SELECT * FROM ({_pattern_sql(_HOT)}) m
-WHERE second_us IS NOT NULL OR first_us + 86400000000 <= {_SEEN}
-   OR EXISTS (SELECT 1 FROM {_HOT} p WHERE p.user_id = m.user_id
-              AND p.event_type = 'purchase' AND epoch_us(p.ts) >= m.first_us + 86400000000)""",
+        # A stream that has come to its end gives what a table gives.
+        "stream_pattern": _pattern_sql(),
+        "stream_pattern_hot_key": _pattern_sql(_HOT),
+        "stream_pattern_ascending": _pattern_sql(_HOT),
         "stream_timeout": f"""
 SELECT event_id AS create_id, {timeout_text_sql} AS text
-FROM ({_closed_sql()}) WHERE status = 'timeout'""",
+FROM ({_pattern_sql()}) WHERE status = 'timeout'""",
         "stream_run_alert": _run_text_sql(),
         "stream_run_alert_hot_key": _run_text_sql(_HOT),
     }
@@ -626,8 +626,10 @@ FROM ({_closed_sql()}) WHERE status = 'timeout'""",
 try:
     import corpus_pipeline
     from sequon.llm import queries as _llm
-except ImportError:
-    # The operators on training text can be left out as a whole.
+except ModuleNotFoundError as error:
+    # The operators on training text can be left out as a whole; what they need cannot.
+    if error.name not in ("corpus_pipeline", "sequon.llm"):
+        raise
     _llm = None
 
 if _llm is not None:

@@ -17,14 +17,14 @@ from sequon.operators.sequence import MATCHED, TIMED_OUT, Pattern
 from sequon.plans.segments import Segments
 from sequon.streaming.folders import keep_state_on_disk
 from sequon.streaming.kept import plain, typed
+from sequon.streaming.routes import dealt, fixed_routes, has_routes
 from sequon.streaming.stretches import reduce_stretches
 
 _SALT, _AT, _TIE, _FIRST, _SECOND = "salt", "at", "tie", "is_first", "is_second"
 _STATUS = "status"
 _MICRO = timedelta(microseconds=1)
-# Most tasks the first steps of a hot key are dealt out to; its second steps are
-# copied to each.
-MAX_SALTS = 8
+# Slices of time in a bound, unless told otherwise.
+SLICES = 32
 # Tasks that pass on the settled matches of one key.
 _SPREAD = 64
 
@@ -39,19 +39,27 @@ def match_stream(
     delay: str = "1 millisecond",
     buffered: bool = True,
     segments: Segments | None = None,
+    routes: DataFrame | None = None,
+    time_slice: timedelta | None = None,
 ) -> DataFrame:
     """As the batch operator, one row per first step, once its outcome is certain.
 
     ``ts`` must be a timestamp with time zone. By default steps wait until the
     watermark, ``delay`` behind the latest time, has passed them and are then taken in
-    time order. With ``segments``, planned on past rows of the stream, the first steps
-    of a hot key are dealt out to several tasks.
+    time order. With ``routes``, from ``plan_routes``, the first steps of a hot key are
+    dealt out to several tasks, by a plan that may change whenever the stream is started.
+    ``segments`` is such a plan for a stream that keeps it for ever.
+
+    Steps are held by slices of time, a 32nd of the bound unless ``time_slice`` says
+    otherwise. A slice is taken as a whole once the watermark has passed its end, so an
+    outcome may be reported that much later; more slices cost more calls to the state.
 
     Where each micro-batch holds later times than the one before, ``buffered=False``
     takes steps as they come. Range partitions then settle the matches within them, and
     only the first second step and the first steps left open reach the state of a key.
 
-    Matches still open when the stream ends are not reported.
+    Matches still open when the stream ends are not reported, unless the end of the input
+    is marked (``sources.ending``).
     """
     keep_state_on_disk(df.sparkSession)
     keep = list(keep) if keep is not None else df.columns
@@ -62,12 +70,17 @@ def match_stream(
     steps = df.withWatermark(ts, delay).where(F.when(F.col(ts).isNotNull(), is_step))
     first, second = F.coalesce(is_first, F.lit(False)), F.coalesce(is_second, F.lit(False))
     salt = F.lit(0)
-    if buffered and segments is not None and segments.split:
-        salted, salt, starts_here = _dealt(steps, segments, list(keys), tie, second)
-        steps, first = salted, first & starts_here
+    if routes is None and segments is not None and segments.split:
+        routes = fixed_routes(segments)
+    if buffered and has_routes(routes):
+        salted, salt, starts_here = dealt(
+            steps, routes, list(keys), ts, tie, second, pattern.within
+        )
+        steps, first = salted, first & F.coalesce(starts_here, F.lit(False))
     flat = steps.select(
         *[F.col(k).alias(f"key{i}") for i, k in enumerate(keys)],
-        salt.alias(_SALT),
+        # Never null, with or without a plan: a state keeps the types it began with.
+        F.coalesce(salt, F.lit(0)).alias(_SALT),
         F.unix_micros(ts).alias(_AT),
         plain(df, tie).alias(_TIE),
         first.alias(_FIRST),
@@ -92,7 +105,8 @@ def match_stream(
     names = [g.name for g in groups]
     if not buffered:
         flat = _settled(flat, names, kept, longest)
-    processor = FollowedBy(step, out, within, longest, buffered)
+    wide = max(1, (time_slice // _MICRO) if time_slice is not None else within // SLICES)
+    processor = FollowedBy(step, out, within, longest, buffered, wide)
     found = flat.groupBy(*names, _SALT).transformWithState(
         processor, out, outputMode="Append", timeMode="EventTime"
     )
@@ -109,22 +123,6 @@ def match_stream(
     )
 
 
-def _dealt(
-    steps: DataFrame, segments: Segments, keys: list[str], tie: str, second: Column
-) -> tuple[DataFrame, Column, Column]:
-    """Rows with the tasks of their key they go to, that task, and whether the row may
-    start a match there.
-
-    A row that is both steps goes everywhere but starts its match in one task.
-    """
-    parts = F.broadcast(segments.parts().withColumnRenamed("parts", "__parts"))
-    parted = steps.join(parts, keys, "left")
-    tasks = F.least(F.coalesce("__parts", F.lit(1)), F.lit(MAX_SALTS))
-    mine = F.pmod(F.xxhash64(tie), tasks).cast("int")
-    to = F.when(second, F.sequence(F.lit(0), tasks - 1)).otherwise(F.array(mine))
-    return parted.withColumn("__salt", F.explode(to)), F.col("__salt"), F.col("__salt") == mine
-
-
 def _settled(flat: DataFrame, keys: list[str], kept: T.StructType, longest: int) -> DataFrame:
     """Matches settled within a range partition, spread over tasks, and the steps that
     concern earlier or later rows."""
@@ -180,97 +178,171 @@ def settle(
 
 
 class FollowedBy(StatefulProcessor):
-    """Steps of one key: those waiting for the watermark, and open first steps.
+    """Steps of one key by slices of time: those waiting for the watermark, and open ones.
+
+    Steps are tuples (at, tie, first, second, *kept). What one micro-batch adds to a slice is
+    a chunk, an entry of a map of its own, so adding never reads what is there. A small index
+    lists, for each slice, its chunks, whether it has second steps and whether it is open: then
+    all its steps are first steps that have been taken and no second step has closed. One timer
+    per slice says that the watermark has passed its end, one that its open steps have timed
+    out. A slice without second steps becomes open without being read.
 
-    Each call to the state is a round trip to the JVM, so both kinds share one list and
-    one timer is set, for the earliest thing to do: taking a waiting step or giving up
-    an open one. Steps are tuples (at, tie, first, second, *kept), and held ones have
-    in front whether they are open.
+    Timers are at ends of slices. The open steps of a slice are given up only at the first
+    end by which all that could close them has been taken.
     """
 
     def __init__(
-        self, step: T.StructType, out: T.StructType, within: int, longest: int, buffered: bool
+        self,
+        step: T.StructType,
+        out: T.StructType,
+        within: int,
+        longest: int,
+        buffered: bool,
+        wide: int,
     ):
         self.fields, self.result, self.buffered = step.names, Row(*out.names), buffered
-        self.kind = T.StructType([T.StructField("open", T.BooleanType()), *step])
-        self.within, self.longest = within, longest
+        self.within, self.longest, self.wide = within, longest, wide
+        self.place = T.StructType([T.StructField("chunk", T.LongType())])
+        self.chunk = T.StructType([T.StructField("steps", T.ArrayType(step))])
+        entry = T.StructType(
+            [
+                T.StructField("slice", T.LongType()),
+                T.StructField("open", T.BooleanType()),
+                T.StructField("second", T.BooleanType()),
+                T.StructField("chunks", T.ArrayType(T.LongType())),
+            ]
+        )
+        self.listed = T.StructType(
+            [T.StructField("next", T.LongType()), T.StructField("slices", T.ArrayType(entry))]
+        )
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", self.kind)
-        self.due = handle.getValueState("due", T.StructType([T.StructField("ms", T.LongType())]))
+        self.chunks = handle.getMapState("chunks", self.place, self.chunk)
+        self.index = handle.getValueState("index", self.listed)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if self.buffered:
-            waiting = [(False, *[row[f] for f in self.fields]) for row in rows]
-            self.held.appendList(waiting)
-            self._wake(min(s[1] for s in waiting), self.due.get())
-            return
         steps = []
         for row in rows:
             step = tuple(row[f] for f in self.fields)
-            if row[_STATUS] is None:
+            if self.buffered or row[_STATUS] is None:
                 steps.append(step)
             else:
                 matched = row[_STATUS] == MATCHED
                 second = tuple(row[f"next{i}"] for i in range(len(step) - 4)) if matched else None
                 yield self.result(*key[:-1], step[4:], second, row[_STATUS])
-        if steps:
-            still_open = [tuple(s[1:]) for s in self.held.get()]
-            still_open, done = self._take(key, still_open, sorted(steps, key=_in_order))
+        if not steps:
+            return
+        index = _Index(self.index.get())
+        if self.buffered:
+            self._add(index, steps, False)
+        elif any(s[3] for s in steps):
+            # Every open step comes before them or among them.
+            steps += self._drop(index, [k for k in index.slices if k[1]])
+            still_open, done = self._take(key, steps)
             yield from done
-            self._hold(still_open, [], self.due.get())
+            self._add(index, still_open, True)
+        else:
+            self._add(index, steps, True)
+        self._keep(index)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        still_open, ready, waiting = [], [], []
-        for is_open, *step in self.held.get():
-            (still_open if is_open else ready if step[0] <= now else waiting).append(tuple(step))
-        still_open, done = self._take(key, still_open, sorted(ready, key=_in_order))
-        yield from done
-        yield from (self._out(key, s) for s in still_open if s[0] + self.within <= now)
-        self._hold([s for s in still_open if s[0] + self.within > now], waiting, None)
+        index = _Index(self.index.get())
+        due = sorted(k for k in index.slices if not k[1] and self._end(k[0]) <= now)
+        for ready in due:
+            second, chunks = index.slices[ready]
+            if second:
+                # Open steps of later slices cannot be closed by steps of this one.
+                before = [k for k in index.slices if k[1] and k[0] <= ready[0]]
+                still_open, done = self._take(key, self._drop(index, [ready, *before]))
+                yield from done
+                self._add(index, still_open, True)
+            else:
+                del index.slices[ready]
+                self._open(index, ready[0], chunks)
+        late = sorted(k for k in index.slices if k[1] and self._gone(k[0]) <= now)
+        for step in self._drop(index, late):
+            yield self._out(key, step)
+        if due or late:
+            self._keep(index)
 
     def close(self) -> None:
         pass
 
-    def _take(self, key, still_open: list, steps: list) -> tuple[list, list[Row]]:
-        """Let steps, in time order, close open first steps or open new ones."""
-        done = []
+    def _end(self, place: int) -> int:
+        return (place + 1) * self.wide
+
+    def _gone(self, place: int) -> int:
+        """The end of a slice by which open steps of this one have timed out."""
+        return -(-(self._end(place) + self.within) // self.wide) * self.wide
+
+    def _wake(self, micros: int) -> None:
+        self.handle.registerTimer(-(-micros // 1000))
+
+    def _add(self, index: _Index, steps: list, is_open: bool) -> None:
+        """Put steps into their slices, a chunk to each."""
+        by_slice: dict[int, list] = {}
         for step in steps:
+            by_slice.setdefault(step[0] // self.wide, []).append(step)
+        for place, own in by_slice.items():
+            chunk, index.next = index.next, index.next + 1
+            self.chunks.updateValue((chunk,), (own,))
+            if is_open:
+                self._open(index, place, [chunk])
+            else:
+                if (place, False) not in index.slices:
+                    self._wake(self._end(place))
+                second, chunks = index.slices.get((place, False), (False, []))
+                second = second or any(s[3] for s in own)
+                index.slices[place, False] = second, [*chunks, chunk]
+
+    def _open(self, index: _Index, place: int, chunks: list[int]) -> None:
+        if (place, True) not in index.slices:
+            self._wake(self._gone(place))
+        _, own = index.slices.get((place, True), (False, []))
+        index.slices[place, True] = False, [*own, *chunks]
+
+    def _drop(self, index: _Index, places: list[tuple[int, bool]]) -> list[tuple]:
+        """Take slices out of the state: their steps."""
+        steps = []
+        for place in places:
+            for chunk in index.slices.pop(place)[1]:
+                steps += map(tuple, self.chunks.getValue((chunk,))[0])
+                self.chunks.removeKey((chunk,))
+        return steps
+
+    def _take(self, key, steps: list) -> tuple[list, list[Row]]:
+        """Let steps, in time order, close open first steps or open new ones."""
+        still_open, done = [], []
+        for step in sorted(steps, key=_in_order):
             if step[3] and still_open:
                 done += [self._out(key, first, step) for first in still_open]
                 still_open = []
             if step[2]:
                 still_open.append(step)
-        return still_open, done
+        # A step held as open is a first step, whatever else it was.
+        return [(*s[:3], False, *s[4:]) for s in still_open], done
 
     def _out(self, key, first: tuple, second: tuple | None = None) -> Row:
         matched = second is not None and second[0] - first[0] <= self.longest
         status = MATCHED if matched else TIMED_OUT
         return self.result(*key[:-1], first[4:], second[4:] if matched else None, status)
 
-    def _hold(self, still_open: list, waiting: list, due: tuple | None) -> None:
-        times = [s[0] + self.within for s in still_open] + [s[0] for s in waiting]
-        if times:
-            self.held.put([(True, *s) for s in still_open] + [(False, *s) for s in waiting])
-            self._wake(min(times), due)
+    def _keep(self, index: _Index) -> None:
+        if index.slices:
+            entries = [(p, o, s, c) for (p, o), (s, c) in index.slices.items()]
+            self.index.update((index.next, entries))
         else:
-            self.held.clear()
-            self.due.clear()
-
-    def _wake(self, micros: int, due: tuple | None) -> None:
-        """Have the timer go off once the watermark reaches a time, if not earlier.
-
-        ``due`` is when the timer is set to go off, None if it is not set.
-        """
-        at = -(-micros // 1000)
-        if due is not None:
-            if due[0] <= at:
-                return
-            self.handle.deleteTimer(due[0])
-        self.handle.registerTimer(at)
-        self.due.update((at,))
+            self.index.clear()
+
+
+class _Index:
+    """Chunks by (slice, open), and whether there are second steps among them."""
+
+    def __init__(self, kept: tuple | None):
+        self.next, entries = (kept[0], kept[1]) if kept is not None else (0, [])
+        self.slices = {(e[0], e[1]): (e[2], list(e[3])) for e in entries}
 
 
 def _in_order(step: tuple) -> tuple:
