@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TIMES = (T.TimestampType, T.TimestampNTZType)
+TIMES = (T.TimestampType, T.TimestampNTZType)
 
 
 def plain(df: DataFrame, name: str) -> Column:
     """A column as state holds it: times as microseconds, free of time zones."""
-    if isinstance(df.schema[name].dataType, _TIMES):
+    if isinstance(df.schema[name].dataType, TIMES):
         return F.unix_micros(F.col(name).cast("timestamp"))
     return F.col(name)
 
@@ -19,4 +19,4 @@ def plain(df: DataFrame, name: str) -> Column:
 def typed(df: DataFrame, name: str, value: Column) -> Column:
     """Undo :func:`plain`."""
     kind = df.schema[name].dataType
-    return F.timestamp_micros(value).cast(kind) if isinstance(kind, _TIMES) else value
+    return F.timestamp_micros(value).cast(kind) if isinstance(kind, TIMES) else value

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from datetime import timedelta
 
 import numpy as np
 import pyarrow as pa
@@ -14,9 +15,11 @@ from pyspark.sql.streaming import StatefulProcessor
 from sequon.model import has_key
 from sequon.operators.machine import Machine, lists, state_type, states_before
 from sequon.streaming.folders import keep_state_on_disk
-from sequon.streaming.kept import plain, typed
+from sequon.streaming.kept import TIMES, plain, typed
 from sequon.streaming.stretches import reduce_stretches
 
+#: Slots of a time and of a whole number, unless told otherwise.
+SLOT_TIME, SLOT_WIDTH = timedelta(minutes=10), 10_000
 _SYMBOL, _AT, _WHEN, _MOVES = "symbol", "at", "when", "moves"
 
 
@@ -28,6 +31,7 @@ def machine_stream(
     event: Column,
     keep: Sequence[str] | None = None,
     ttl_ms: int | None = None,
+    slot: timedelta | int | None = None,
 ) -> DataFrame:
     """Keys and ``keep`` columns of the rows a machine reports.
 
@@ -36,9 +40,10 @@ def machine_stream(
     ``ttl_ms`` after its last row; with a limit the query keeps looking for expired
     state, so it does not end by itself even under an available-now trigger.
 
-    Within a range partition, the rows of a key are reduced to one function from state
-    to state and the rows that some state would report. Only those reach the task that
-    holds the state of the key.
+    Within a slot of its first order column, the rows of a key are reduced to one function
+    from state to state and the rows that some state would report. Only those reach the task
+    that holds the state of the key. ``slot`` is how wide slots are: ten minutes of a time,
+    10,000 of a whole number; a column of another type is one slot.
     """
     keep_state_on_disk(df.sparkSession)
     keep = list(keep) if keep is not None else [c for c in df.columns if c not in keys]
@@ -65,7 +70,8 @@ def machine_stream(
     def reduce(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         return reduced(rows, starts, moves, reports, key_names, order_names, kept_names)
 
-    stretches = reduce_stretches(flat, key_names, order_names, pieces, reduce)
+    place = _place(df, order[0], order_names[0], slot)
+    stretches = reduce_stretches(flat, key_names, order_names, place, pieces, reduce)
     out = T.StructType([fields[n] for n in (*key_names, *kept_names)])
     alerts = stretches.groupBy(*key_names).transformWithState(
         KeptState(out, order_names, ttl_ms, state_type(moves)),
@@ -79,6 +85,18 @@ def machine_stream(
     )
 
 
+def _place(df: DataFrame, column: str, name: str, slot: timedelta | int | None) -> Column:
+    """The slot of a row; times are held as whole microseconds."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, TIMES):
+        width = (slot or SLOT_TIME) // timedelta(microseconds=1)
+    elif isinstance(kind, T.IntegralType):
+        width = slot or SLOT_WIDTH
+    else:
+        return F.lit(0)
+    return F.floor(F.col(name) / width)
+
+
 def reduced(
     rows: pa.Table,
     starts: np.ndarray,

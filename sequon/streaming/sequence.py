@@ -25,8 +25,8 @@ _STATUS = "status"
 _MICRO = timedelta(microseconds=1)
 # Slices of time in a bound, unless told otherwise.
 SLICES = 32
-# Tasks that pass on the settled matches of one key.
-_SPREAD = 64
+# Slots per slice that the rows of a micro-batch are dealt out by.
+_SLOTS = 8
 
 
 def match_stream(
@@ -55,8 +55,9 @@ def match_stream(
     outcome may be reported that much later; more slices cost more calls to the state.
 
     Where each micro-batch holds later times than the one before, ``buffered=False``
-    takes steps as they come. Range partitions then settle the matches within them, and
-    only the first second step and the first steps left open reach the state of a key.
+    takes steps as they come. Matches within a slot of time are then settled on the way,
+    by columns, and go straight to the output; only the first second step of a slot and the
+    first steps left open in it reach the state of a key.
 
     Matches still open when the stream ends are not reported, unless the end of the input
     is marked (``sources.ending``).
@@ -103,13 +104,26 @@ def match_stream(
     within = pattern.within // _MICRO
     longest = within if pattern.inclusive else within - 1
     names = [g.name for g in groups]
-    if not buffered:
-        flat = _settled(flat, names, kept, longest)
     wide = max(1, (time_slice // _MICRO) if time_slice is not None else within // SLICES)
+    settled = None
+    if not buffered:
+        # Both parts read the same exchange: stretches are the same whoever asks.
+        reduced = _settled(flat, names, kept, longest, max(1, wide // _SLOTS))
+        settled = reduced.where(F.col(_STATUS).isNotNull())
+        flat = reduced.where(F.col(_STATUS).isNull())
     processor = FollowedBy(step, out, within, longest, buffered, wide)
     found = flat.groupBy(*names, _SALT).transformWithState(
         processor, out, outputMode="Append", timeMode="EventTime"
     )
+    if settled is not None:
+        second = F.struct(*[F.col(f"next{i}").alias(f"kept{i}") for i in range(len(keep))])
+        done = settled.select(
+            *names,
+            F.struct(*kept.names).alias("first"),
+            F.when(F.col(_STATUS) == MATCHED, second).alias("second"),
+            _STATUS,
+        )
+        found = found.unionByName(done)
 
     def rows(name: str) -> Column:
         values = [typed(df, c, F.col(name)[f"kept{i}"]).alias(c) for i, c in enumerate(keep)]
@@ -123,9 +137,11 @@ def match_stream(
     )
 
 
-def _settled(flat: DataFrame, keys: list[str], kept: T.StructType, longest: int) -> DataFrame:
-    """Matches settled within a range partition, spread over tasks, and the steps that
-    concern earlier or later rows."""
+def _settled(
+    flat: DataFrame, keys: list[str], kept: T.StructType, longest: int, slot: int
+) -> DataFrame:
+    """Matches settled within a slot of time, with a status, and the steps that concern
+    earlier or later rows."""
     nexts = [T.StructField(f"next{i}", f.dataType) for i, f in enumerate(kept)]
     names = [*keys, _SALT, _AT, _TIE, _FIRST, _SECOND, *kept.names]
     schema = T.StructType([T.StructField(n, flat.schema[n].dataType) for n in names])
@@ -134,7 +150,8 @@ def _settled(flat: DataFrame, keys: list[str], kept: T.StructType, longest: int)
     def reduce(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         return settle(rows, starts, keys, kept.names, longest)
 
-    return reduce_stretches(flat.drop("time"), keys, [_AT, _TIE], schema, reduce)
+    place = F.floor(F.col(_AT) / slot)
+    return reduce_stretches(flat.drop("time"), keys, [_AT, _TIE], place, schema, reduce)
 
 
 def settle(
@@ -163,8 +180,7 @@ def settle(
     names = [*keys, _SALT, _AT, _TIE, _FIRST, _SECOND, *kept, *nexts, _STATUS]
     if len(closed):
         columns = taken(keys, closed)
-        columns += [pa.array((1 + closed % _SPREAD).astype(np.int32))]
-        columns += taken([_AT, _TIE, _FIRST, _SECOND, *kept], closed)
+        columns += taken([_SALT, _AT, _TIE, _FIRST, _SECOND, *kept], closed)
         columns += taken(kept, after[closed], ~in_time)
         columns += [pa.array(np.where(in_time, MATCHED, TIMED_OUT).tolist())]
         yield from pa.table(columns, names=names).to_batches()
@@ -222,17 +238,7 @@ class FollowedBy(StatefulProcessor):
         self.index = handle.getValueState("index", self.listed)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        steps = []
-        for row in rows:
-            step = tuple(row[f] for f in self.fields)
-            if self.buffered or row[_STATUS] is None:
-                steps.append(step)
-            else:
-                matched = row[_STATUS] == MATCHED
-                second = tuple(row[f"next{i}"] for i in range(len(step) - 4)) if matched else None
-                yield self.result(*key[:-1], step[4:], second, row[_STATUS])
-        if not steps:
-            return
+        steps = [tuple(row[f] for f in self.fields) for row in rows]
         index = _Index(self.index.get())
         if self.buffered:
             self._add(index, steps, False)

@@ -1,7 +1,9 @@
-"""Stretches: the rows of one key within one range partition of a micro-batch.
+"""Stretches: the rows of one key within one slot of its order, in one micro-batch.
 
-A range partition on key and order deals the rows of a hot key out to many tasks.
-Each reduces its stretch of the key to what the state of the key needs to know.
+Rows are dealt out by the hash of key and slot, so that the rows of a hot key go to many tasks
+and the source is read once. Each task reduces a stretch to what the state of the key needs to
+know; what passes from one slot to the next is carried by that state. The same rows always form
+the same stretches.
 """
 
 from __future__ import annotations
@@ -11,19 +13,25 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
+_SLOT = "slot"
+
 
 def reduce_stretches(
     flat: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
+    slot: Column,
     schema: T.StructType,
     reduce: Callable[[pa.Table, np.ndarray], Iterator[pa.RecordBatch]],
 ) -> DataFrame:
-    """Give ``reduce`` each range partition, in order, with the starts of its stretches."""
-    sort_by = [(n, "ascending") for n in (*keys, *order)]
+    """Give ``reduce`` the rows of each task, in order, with the starts of its stretches.
+
+    ``slot`` must not go down along ``order``; null for rows whose place is null.
+    """
+    sort_by = [(n, "ascending") for n in (*keys, _SLOT, *order)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled = [b for b in batches if b.num_rows]
@@ -32,16 +40,18 @@ def reduce_stretches(
             # Nulls first, as Spark sorts them.
             places = pc.sort_indices(rows, sort_keys=sort_by, null_placement="at_start")
             rows = rows.take(places)
-            yield from reduce(rows, stretch_starts(rows, keys))
+            yield from reduce(rows, stretch_starts(rows, [*keys, _SLOT]))
 
-    return flat.repartitionByRange(*keys, *order).mapInArrow(run, schema)
+    return flat.withColumn(_SLOT, slot).repartition(*keys, _SLOT).mapInArrow(run, schema)
 
 
-def stretch_starts(rows: pa.Table, keys: Sequence[str]) -> np.ndarray:
-    """True at the first row of each key, in sorted rows without null keys."""
+def stretch_starts(rows: pa.Table, names: Sequence[str]) -> np.ndarray:
+    """True at the first row of each group of equal values, nulls equal, in sorted rows."""
     starts = np.zeros(rows.num_rows, dtype=bool)
-    for name in keys:
+    for name in names:
         column = rows.column(name)
-        starts[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy()
+        now, last = column[1:], column[:-1]
+        differs = pc.fill_null(pc.not_equal(now, last), False)
+        starts[1:] |= pc.or_(differs, pc.xor(now.is_null(), last.is_null())).to_numpy()
     starts[0] = True
     return starts

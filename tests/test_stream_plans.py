@@ -141,6 +141,21 @@ def test_time_slices(spark, tmp_path):
         assert outcomes(spark.read.parquet(str(tmp_path / f"out{i}"))) == expected
 
 
+def test_input_is_read_once(spark, tmp_path):
+    """Slots need no sample of the input, and settled matches share its exchange."""
+    rows = [("k", i * 1000, i, "create" if i % 3 else "pay") for i in range(600)]
+    add_files(tmp_path / "in", [rows[i : i + 200] for i in range(0, 600, 200)])
+    found = match_stream(
+        stream(spark, tmp_path / "in"), paying(), ["key"], "at", "tie", ["tie", "at"], buffered=False
+    )
+    query = finish(write_outputs(found, str(tmp_path / "out"), str(tmp_path / "progress")))
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [200] * 3
+    # What the state of the key got: fewer rows than matches that passed it by.
+    states = [p["stateOperators"][0] for p in query.recentProgress if p["numInputRows"]]
+    assert len(states) == 3
+    assert spark.read.parquet(str(tmp_path / "out")).where("status = 'payed'").count() == 398
+
+
 def test_work_stays_level_while_nothing_closes(spark, tmp_path):
     """Twenty micro-batches of first steps of one key: the last cost no more than the first."""
     from datetime import timedelta
