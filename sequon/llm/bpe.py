@@ -16,7 +16,6 @@ import base64
 from collections.abc import Iterator
 from functools import cached_property
 from heapq import heapify, heappop, heappush
-from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -27,9 +26,9 @@ from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-#: Distinct pre-tokens that a worker process remembers, some 160 bytes each; beyond that the
-#: older half goes.
-REMEMBERED = 100_000
+#: Distinct pre-tokens in a generation that a worker process remembers, some 200 bytes each;
+#: it has two.
+REMEMBERED = 160_000
 #: Bytes of a pre-token whose place and rank fit one small integer.
 _SHORT = 127
 #: Slots hold keys per bucket; the first hash chooses the bucket.
@@ -184,23 +183,30 @@ class Vocabulary:
 
 
 class _Remembered(dict):
-    """Packed ids of pre-tokens, worked out when first asked for."""
+    """Packed ids of pre-tokens, worked out when first asked for.
+
+    Those of the last generation stay until the next is full; what is asked for again moves
+    on with it, so the common ones are never lost.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
+        self.last: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        data = piece.encode()
-        whole = self.vocabulary.whole(data)
-        ids = [whole] if whole is not None else self.vocabulary.merged(data)
-        packed = b"".join([i.to_bytes(4, "little") for i in ids])
-        if len(data) <= 64:
-            if len(self) >= REMEMBERED:
-                # They stand in the order in which they came.
-                for old in list(islice(self, REMEMBERED // 2)):
-                    del self[old]
-            self[piece] = packed
+        packed = self.last.pop(piece, None)
+        if packed is None:
+            data = piece.encode()
+            whole = self.vocabulary.whole(data)
+            ids = (whole,) if whole is not None else self.vocabulary.merged(data)
+            packed = b"".join([i.to_bytes(4, "little") for i in ids])
+            if len(data) > 64:
+                return packed
+        if len(self) >= REMEMBERED:
+            self.last = dict(self)
+            self.clear()
+        self[piece] = packed
         return packed
 
 
