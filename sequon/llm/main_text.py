@@ -35,6 +35,8 @@ LAYOUTS, TEXTS = 2_000, 2_000
 #: Tokens known by name; those of fewer nodes say nothing.
 TOKENS, LEAST_NODES = 4_000, 5
 TREES, DEPTH = 30, 5
+#: Partitions of the nodes to learn from.
+PARTS = 8
 #: Characters of pages that a task holds parsed.
 _CHUNK = 4_000_000
 
@@ -188,8 +190,10 @@ def learn(pages: DataFrame, html: str = "html") -> Extractor:
             )
 
     rows = kept(taught.mapInArrow(nodes, "f array<double>, label double"))
-    # Order decides which values a split is tried at, so it follows from the rows.
-    ordered = rows.repartitionByRange(8, "f", "label").sortWithinPartitions("f", "label")
+    # Order decides which values a split is tried at, so it follows from the rows. They are
+    # few, whatever the table; each partition sends its histograms at every level of a tree.
+    ordered = rows.repartitionByRange(PARTS, "f", "label").sortWithinPartitions("f", "label")
+    ordered = ordered.coalesce(PARTS)
     trees = GBTClassifier(
         maxIter=TREES, maxDepth=DEPTH, stepSize=0.25, minInstancesPerNode=5, seed=7, labelCol="label"
     ).fit(ordered.select(array_to_vector("f").alias("features"), "label"))
