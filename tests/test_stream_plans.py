@@ -44,8 +44,8 @@ def parts(routes):
     return [v["parts"] for v in rows[0]["__routes"]] if rows else []
 
 
-@pytest.mark.parametrize("plans", [(None, 20, 120), (20, None, 60)])
-def test_plans_that_change(spark, tmp_path, plans):
+@pytest.mark.parametrize("plans, most", [((None, 20, 120), 8), ((10, None, 60), 3)])
+def test_plans_that_change(spark, tmp_path, plans, most):
     """More parts, fewer and none: as if there had been no plan at all."""
     batches = disorder(7)
     rows = [r for batch in batches[:-1] for r in batch]
@@ -60,7 +60,8 @@ def test_plans_that_change(spark, tmp_path, plans):
     expected = in_table(spark, tmp_path)
     assert outcomes(spark.read.parquet(str(tmp_path / "out"))) == expected
     assert {r[-1] for r in expected} == {"payed", "timeout"}
-    assert len(versions[-1]) >= 2 and max(max(v, default=1) for v in versions) > 8
+    assert len(versions[-1]) >= 2, versions
+    assert max(max(v, default=1) for v in versions) > most, versions
 
 
 def test_a_plan_that_stays_adds_no_version(spark, tmp_path):
