@@ -49,14 +49,21 @@ def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Data
     return df.where(has_key(keys)), df.where(~has_key(keys))
 
 
-def counted_keys(df: DataFrame, keys: Sequence[str], seen: Observation) -> DataFrame:
-    """Drop rows without a key and count both kinds in ``seen``.
+def counted_keys(
+    df: DataFrame, keys: Sequence[str], seen: Observation | str, ts: str | None = None
+) -> DataFrame:
+    """Drop rows without a key, or without a time if ``ts`` names it, and count them in
+    ``seen``: ``accepted``, ``rejected`` and ``untimed``.
 
-    The counts ride along with whatever job reads the result; they cost no scan
-    of their own.
+    The counts ride along with whatever job reads the result; they cost no scan of their own,
+    but conditions put on the result no longer reach the scan. A stream takes a name; its
+    progress then has the counts of each micro-batch (``streaming.counts``).
     """
+    named = has_key(keys)
+    timed = F.lit(True) if ts is None else F.col(ts).isNotNull()
     return df.observe(
         seen,
-        F.count_if(has_key(keys)).alias("accepted"),
-        F.count_if(~has_key(keys)).alias("rejected"),
-    ).where(has_key(keys))
+        F.count_if(named & timed).alias("accepted"),
+        F.count_if(~named).alias("rejected"),
+        F.count_if(named & ~timed).alias("untimed"),
+    ).where(named & timed)

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sequon.model import counted_keys
 from sequon.plans.segments import HOT, SEGMENT, SEGMENT_ROWS, Segments, plan_segments
 
 # Labels of the two outputs.
@@ -58,16 +59,20 @@ def match(
     as_of: datetime | None = None,
     segments: Segments | None = None,
     segment_rows: int = SEGMENT_ROWS,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """One row per first-step row: keys, a struct per step, and ``status``.
 
     ``keep`` names the columns carried in the step structs. ``tie`` orders rows of
     one key and time. Without ``as_of`` the input is taken as complete; with it, the
     result is as it stood at that time: later rows are not looked at and first steps
-    whose bound had not passed are pending.
+    whose bound had not passed are pending. Rows without a key or a time are left out;
+    ``seen`` counts them.
     """
     keep = list(keep) if keep is not None else df.columns
     order = [ts, tie]
+    if seen is not None:
+        df = counted_keys(df, keys, seen, ts)
     is_first, is_second = pattern.first.where, pattern.second.where
     if as_of is not None:
         now = F.lit(as_of.isoformat(" ")).cast(df.schema[ts].dataType)

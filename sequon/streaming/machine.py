@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
-from sequon.model import has_key
+from sequon.model import counted_keys, has_key
 from sequon.operators.machine import Machine, lists, state_type, states_before
 from sequon.streaming.folders import keep_state_on_disk
 from sequon.streaming.kept import TIMES, plain, typed
@@ -32,6 +32,7 @@ def machine_stream(
     keep: Sequence[str] | None = None,
     ttl_ms: int | None = None,
     slot: timedelta | int | None = None,
+    seen: str | None = None,
 ) -> DataFrame:
     """Keys and ``keep`` columns of the rows a machine reports.
 
@@ -43,14 +44,16 @@ def machine_stream(
     Within a slot of its first order column, the rows of a key are reduced to one function
     from state to state and the rows that some state would report. Only those reach the task
     that holds the state of the key. ``slot`` is how wide slots are: ten minutes of a time,
-    10,000 of a whole number; a column of another type is one slot.
+    10,000 of a whole number; a column of another type is one slot. Rows without a key are
+    left out; under the name ``seen`` the progress of the query counts them.
     """
     keep_state_on_disk(df.sparkSession)
     keep = list(keep) if keep is not None else [c for c in df.columns if c not in keys]
     key_names = [f"key{i}" for i in range(len(keys))]
     order_names = [f"order{i}" for i in range(len(order))]
     kept_names = [f"kept{i}" for i in range(len(keep))]
-    flat = df.where(has_key(keys)).select(
+    own = df.where(has_key(keys)) if seen is None else counted_keys(df, keys, seen)
+    flat = own.select(
         *[F.col(c).alias(n) for c, n in zip(keys, key_names)],
         *[plain(df, c).alias(n) for c, n in zip(order, order_names)],
         *[plain(df, c).alias(n) for c, n in zip(keep, kept_names)],

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
-from sequon.model import has_key
+from sequon.model import counted_keys, has_key
 from sequon.operators.sequence import MATCHED, TIMED_OUT, Pattern
 from sequon.plans.segments import Segments
 from sequon.streaming.folders import keep_state_on_disk
@@ -41,6 +41,7 @@ def match_stream(
     segments: Segments | None = None,
     routes: DataFrame | None = None,
     time_slice: timedelta | None = None,
+    seen: str | None = None,
 ) -> DataFrame:
     """As the batch operator, one row per first step, once its outcome is certain.
 
@@ -59,7 +60,8 @@ def match_stream(
     by columns, and go straight to the output; only the first second step of a slot and the
     first steps left open in it reach the state of a key.
 
-    Matches still open when the stream ends are not reported, unless the end of the input
+    Rows without a key or a time are left out; under the name ``seen`` the progress of the
+    query counts them. Matches still open when the stream ends are not reported, unless the end of the input
     is marked (``sources.ending``).
     """
     keep_state_on_disk(df.sparkSession)
@@ -68,7 +70,10 @@ def match_stream(
     # Rows of neither step move time on as well, so they must reach the watermark. A
     # condition on the time column itself is not pushed below it.
     is_step = (is_first | is_second) & has_key(keys)
-    steps = df.withWatermark(ts, delay).where(F.when(F.col(ts).isNotNull(), is_step))
+    timed = df.withWatermark(ts, delay)
+    if seen is not None:
+        timed = counted_keys(timed, keys, seen, ts)
+    steps = timed.where(F.when(F.col(ts).isNotNull(), is_step))
     first, second = F.coalesce(is_first, F.lit(False)), F.coalesce(is_second, F.lit(False))
     salt = F.lit(0)
     if routes is None and segments is not None and segments.split:
