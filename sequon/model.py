@@ -52,18 +52,21 @@ def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Data
 def counted_keys(
     df: DataFrame, keys: Sequence[str], seen: Observation | str, ts: str | None = None
 ) -> DataFrame:
-    """Drop rows without a key, or without a time if ``ts`` names it, and count them in
-    ``seen``: ``accepted``, ``rejected`` and ``untimed``.
+    """Drop rows without a key and count both kinds in ``seen``: ``accepted``, ``rejected``.
+    If ``ts`` names the time, rows without one go as well and are counted as ``untimed``.
 
     The counts ride along with whatever job reads the result; they cost no scan of their own,
     but conditions put on the result no longer reach the scan. A stream takes a name; its
     progress then has the counts of each micro-batch (``streaming.counts``).
     """
     named = has_key(keys)
-    timed = F.lit(True) if ts is None else F.col(ts).isNotNull()
+    good, untimed = named, []
+    if ts is not None:
+        good = named & F.col(ts).isNotNull()
+        untimed = [F.count_if(named & F.col(ts).isNull()).alias("untimed")]
     return df.observe(
         seen,
-        F.count_if(named & timed).alias("accepted"),
+        F.count_if(good).alias("accepted"),
         F.count_if(~named).alias("rejected"),
-        F.count_if(named & ~timed).alias("untimed"),
-    ).where(named & timed)
+        *untimed,
+    ).where(good)

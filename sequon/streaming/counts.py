@@ -20,7 +20,7 @@ def counted(progress: Iterable[Any], seen: str) -> dict[str, int]:
     for report in progress:
         row = report["observedMetrics"].get(seen)
         if row is not None:
-            total.update({name: row[name] for name in COUNTED})
+            total.update({name: row.asDict().get(name, 0) for name in COUNTED})
         for state in report["stateOperators"]:
             total["late"] += state["numRowsDroppedByWatermark"]
     return dict(total)
