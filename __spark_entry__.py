@@ -46,6 +46,8 @@ from sequon.streaming.sequence import match_stream  # noqa: E402
 
 USER, ORDER = ["user_id"], ["ts", "event_id"]
 BOUND = timedelta(hours=24)
+#: How long a machine's state lasts in the queries with expiry.
+EXPIRE = timedelta(hours=12)
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
@@ -332,6 +334,15 @@ def _fsm_hot_key(spark: SparkSession, folder: str) -> DataFrame:
     return _states(events, _funnel(), segment_rows=HOT_SEGMENT_ROWS)
 
 
+def _fsm_expiry(spark: SparkSession, folder: str) -> DataFrame:
+    return _states(_events(spark, folder), run_alert_machine("error", "view"), expire=EXPIRE)
+
+
+def _fsm_expiry_hot_key(spark: SparkSession, folder: str) -> DataFrame:
+    machine, rows = run_alert_machine("error", "view"), HOT_SEGMENT_ROWS
+    return _states(_hot_events(spark, folder), machine, segment_rows=rows, expire=EXPIRE)
+
+
 def _word_count(spark: SparkSession, folder: str) -> DataFrame:
     return word_count(table(spark, folder, "documents"), "text")
 
@@ -395,9 +406,11 @@ def _run_outputs(spark: SparkSession, rows: DataFrame, by: str) -> str:
     return f"{folder}/out"
 
 
-def _stream_alerts(spark: SparkSession, stream: DataFrame) -> DataFrame:
+def _stream_alerts(spark: SparkSession, stream: DataFrame, **options) -> DataFrame:
     machine = run_alert_machine("error", "view")
-    alerts = machine_stream(stream, machine, USER, ORDER, F.col("event_type"), keep=["event_id"])
+    alerts = machine_stream(
+        stream, machine, USER, ORDER, F.col("event_type"), keep=["event_id"], **options
+    )
     texts = labelled(alerts.select("event_id", run_text("user_id").alias("text")), "warning")
     return read_output(spark, _run_outputs(spark, texts, "label"), "warning", "label")
 
@@ -410,6 +423,10 @@ def _stream_run_alert_hot_key(spark: SparkSession, folder: str) -> DataFrame:
     return _stream_alerts(spark, _hot(_event_stream(spark, folder)))
 
 
+def _stream_run_alert_expiry(spark: SparkSession, folder: str) -> DataFrame:
+    return _stream_alerts(spark, _event_stream(spark, folder), expire=EXPIRE)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Sign-ups and what became of them, on the smallest tables."""
     return _pattern(spark, "/root/testdata/sf0.001")
@@ -442,6 +459,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fsm_alerts": _fsm_alerts,
         "fsm_funnel": _fsm_funnel,
         "fsm_hot_key": _fsm_hot_key,
+        "fsm_expiry": _fsm_expiry,
+        "fsm_expiry_hot_key": _fsm_expiry_hot_key,
         "word_count": _word_count,
         "stream_pattern": _stream_pattern,
         "stream_pattern_hot_key": _stream_pattern_hot_key,
@@ -449,6 +468,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_timeout": _stream_timeout,
         "stream_run_alert": _stream_run_alert,
         "stream_run_alert_hot_key": _stream_run_alert_hot_key,
+        "stream_run_alert_expiry": _stream_run_alert_expiry,
     }
 
 
@@ -505,17 +525,40 @@ walk AS (
 SELECT event_id, user_id, state, matched FROM walk WHERE rn > 0"""
 
 
-_RUN_STATES = f"""
+def _sessions_sql(events: str = "events") -> str:
+    """Length of the run of errors each event ends, in which no event comes twelve hours or
+    more after the one before it."""
+    return f"""
+SELECT event_id, user_id,
+       CASE WHEN event_type = 'error' THEN count(*) OVER (
+         PARTITION BY user_id, session, broken ORDER BY ts, event_id)
+         - CASE WHEN broken > 0 THEN 1 ELSE 0 END ELSE 0 END AS run_length
+FROM (SELECT *, count(*) FILTER (event_type <> 'error') OVER (
+        PARTITION BY user_id, session ORDER BY ts, event_id) AS broken
+      FROM (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session
+            FROM (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (
+                    PARTITION BY user_id ORDER BY ts, event_id) >= 43200000000 THEN 1 ELSE 0 END AS starts
+                  FROM {events})))"""
+
+
+def _run_states_sql(runs: str) -> str:
+    return f"""
 SELECT event_id, user_id,
        CASE least(run_length, 2) WHEN 0 THEN 'Initial' WHEN 1 THEN 'S1' ELSE 'S2' END AS state,
        CASE WHEN run_length >= 3 THEN 1 ELSE 0 END AS matched
-FROM ({_runs_sql("event_type = 'error'")})"""
+FROM ({runs})"""
 
 
-def _run_text_sql(events: str = "events") -> str:
+_RUN_STATES = _run_states_sql(_runs_sql("event_type = 'error'"))
+
+
+def _text_sql(runs: str) -> str:
     return f"""
-SELECT event_id, user_id || ' 连续三次登录失败' AS text
-FROM ({_runs_sql("event_type = 'error'", events)}) WHERE run_length >= 3"""
+SELECT event_id, user_id || ' 连续三次登录失败' AS text FROM ({runs}) WHERE run_length >= 3"""
+
+
+def _run_text_sql(events: str = "events") -> str:
+    return _text_sql(_runs_sql("event_type = 'error'", events))
 
 
 _SENSOR_SQL = """
@@ -607,6 +650,8 @@ FROM events""",
         "fsm_alerts": f"SELECT event_id, text FROM ({_run_text_sql()})",
         "fsm_funnel": _funnel_sql(),
         "fsm_hot_key": _funnel_sql(_HOT),
+        "fsm_expiry": _run_states_sql(_sessions_sql()),
+        "fsm_expiry_hot_key": _run_states_sql(_sessions_sql(_HOT)),
         "word_count": r"""
 SELECT word, count(*) AS n
 FROM (SELECT unnest(regexp_split_to_array(text, '\s+')) AS word FROM documents)
@@ -620,6 +665,7 @@ SELECT event_id AS create_id, {timeout_text_sql} AS text
 FROM ({_pattern_sql()}) WHERE status = 'timeout'""",
         "stream_run_alert": _run_text_sql(),
         "stream_run_alert_hot_key": _run_text_sql(_HOT),
+        "stream_run_alert_expiry": _text_sql(_sessions_sql()),
     }
 
 

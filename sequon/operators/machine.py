@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from datetime import timedelta
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sequon.model import counted_keys
 from sequon.plans.segments import HOT, SEGMENT, SEGMENT_ROWS, Segments, plan_segments
 
 _SYMBOL, _MOVES, _BEFORE, _GROUP = "__symbol", "__moves", "__before", "__group"
+_TIME, _BEGINS, _ENDS = "__time", "__begins", "__ends"
 
 
 @dataclass(frozen=True)
@@ -82,6 +86,14 @@ class Machine:
                 moves[cell] = number[rule.target]
         return moves, reports
 
+    def expiring_table(self) -> tuple[np.ndarray, np.ndarray]:
+        """The table with each symbol a second time, for events that come after their key's
+        state has expired: whatever the state was, they meet the initial one."""
+        return tuple(
+            np.concatenate([part, np.repeat(part[:, :1], len(self.states), axis=1)])
+            for part in self.table()
+        )
+
     def symbol(self, event: Column) -> Column:
         if not self.events:
             return F.lit(self.other)
@@ -107,28 +119,38 @@ def run_machine(
     keep: Sequence[str] | None = None,
     segments: Segments | None = None,
     segment_rows: int = SEGMENT_ROWS,
+    expire: timedelta | None = None,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Add ``state``, the state after each row, and ``matched``, whether it is reported.
 
     ``order`` must order the rows of a key completely. Keys and the ``keep`` columns,
     all by default, pass through Arrow, at a cost per column.
+
+    With ``expire`` the first order column is a time, and a row that comes so much or more
+    after the one before it finds its key in the initial state. Rows without a time are then
+    left out, as rows without a key always are; ``seen`` counts them.
     """
     segments = segments or plan_segments(df, keys, order, segment_rows)
     columns = df.columns if keep is None else list(dict.fromkeys([*keys, *keep]))
-    moves, reports = machine.table()
-    slim = df.withColumn(_SYMBOL, machine.symbol(event)).select(
+    moves, reports = machine.table() if expire is None else machine.expiring_table()
+    own = df
+    if seen is not None:
+        own = counted_keys(df, keys, seen, None if expire is None else order[0])
+    slim = own.withColumn(_SYMBOL, machine.symbol(event)).select(
         *dict.fromkeys([*columns, *order]), _SYMBOL
     )
     placed = segments.assign(slim)
+    if expire is not None:
+        placed = _renewed(placed.where(F.col(order[0]).isNotNull()), segments, machine, expire)
     passed = list(dict.fromkeys([*segments.group, *columns, _SYMBOL]))
     before = F.get(_BEFORE, F.lit(0))
     if not segments.split:
         traced = _traced(placed, segments.group, segments.order, passed, moves, entry=0)
     else:
         traced = _traced(placed, segments.group, segments.order, passed, moves)
-        traced = traced.join(
-            F.broadcast(_entries(placed.where(HOT), segments, moves)), segments.group, "left"
-        )
+        entries = _entries(placed.where(HOT), segments, moves, expire)
+        traced = traced.join(F.broadcast(entries), segments.group, "left")
         before = F.get(_BEFORE, F.coalesce(F.col("__entry").cast("int"), F.lit(0)))
     cell = F.col(_SYMBOL) * len(machine.states) + before
     after = F.get(F.lit(moves.ravel().tolist()), cell)
@@ -144,6 +166,20 @@ def machine_alerts(df: DataFrame, machine: Machine, *args, **kwargs) -> DataFram
     return run_machine(df, machine, *args, **kwargs).where("matched").drop("matched")
 
 
+def _renewed(
+    placed: DataFrame, segments: Segments, machine: Machine, expire: timedelta
+) -> DataFrame:
+    """Give rows that find an expired state their second symbol, within each group.
+
+    The window asks for the exchange and sort that the trace asks for, so both share them.
+    """
+    rows = W.partitionBy(*segments.group).orderBy(*segments.order)
+    timed = placed.withColumn(_TIME, F.unix_micros(F.col(segments.order[0]).cast("timestamp")))
+    gap = F.col(_TIME) - F.lag(_TIME).over(rows)
+    second = F.when(gap >= expire // timedelta(microseconds=1), machine.other + 1).otherwise(0)
+    return timed.withColumn(_SYMBOL, F.col(_SYMBOL) + second)
+
+
 def _traced(
     placed: DataFrame,
     group: Sequence[str],
@@ -172,11 +208,14 @@ def _traced(
     return rows.mapInArrow(trace, schema)
 
 
-def _entries(hot: DataFrame, segments: Segments, moves: np.ndarray) -> DataFrame:
+def _entries(
+    hot: DataFrame, segments: Segments, moves: np.ndarray, expire: timedelta | None = None
+) -> DataFrame:
     """State each segment of a hot key is entered in.
 
     A segment is a function from the state it is entered in to the state it is left
-    in, so the segments of a key are traced like events.
+    in, so the segments of a key are traced like events. One that begins after the state
+    has expired is entered in the initial state, and leads from any state to the same.
     """
     rows, marks = _in_order(hot, segments.group, segments.order, [*segments.group, _SYMBOL])
     fields = hot.select(*segments.group).schema
@@ -206,8 +245,21 @@ def _entries(hot: DataFrame, segments: Segments, moves: np.ndarray) -> DataFrame
         return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     whole = rows.mapInArrow(reduce, schema)
+    if expire is None:
+        entered = _traced(whole, segments.keys, [SEGMENT], whole.columns, moves, entry=0)
+        return entered.select(*segments.group, F.get(_BEFORE, F.lit(0)).alias("__entry"))
+    times = hot.groupBy(*segments.group).agg(F.min(_TIME).alias(_BEGINS), F.max(_TIME).alias(_ENDS))
+    earlier = W.partitionBy(*segments.keys).orderBy(SEGMENT)
+    gap = F.col(_BEGINS) - F.lag(_ENDS).over(earlier)
+    expired = F.coalesce(gap >= expire // timedelta(microseconds=1), F.lit(False))
+    times = times.select(*segments.group, expired.alias("__expired"))
+    same = F.array_repeat(F.get(_MOVES, F.lit(0)), moves.shape[1])
+    whole = whole.join(times, segments.group).withColumn(
+        _MOVES, F.when(F.col("__expired"), same).otherwise(F.col(_MOVES))
+    )
     entered = _traced(whole, segments.keys, [SEGMENT], whole.columns, moves, entry=0)
-    return entered.select(*segments.group, F.get(_BEFORE, F.lit(0)).alias("__entry"))
+    entry = F.when(F.col("__expired"), F.lit(0)).otherwise(F.get(_BEFORE, F.lit(0)))
+    return entered.select(*segments.group, entry.alias("__entry"))
 
 
 def _in_order(

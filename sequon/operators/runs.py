@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sequon.model import counted_keys
 from sequon.plans.segments import HOT, SEGMENT, SEGMENT_ROWS, Segments, plan_segments
 
 _HIT, _PLACE, _BREAK, _CARRY = "__hit", "__place", "__break", "__carry"
@@ -21,14 +22,18 @@ def run_lengths(
     name: str = "run_length",
     segments: Segments | None = None,
     segment_rows: int = SEGMENT_ROWS,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Add how many rows up to and including this one were hits without a break.
 
     A row where ``hit`` is false or null breaks the run and has length 0. ``order``
-    must order the rows of a key completely.
+    must order the rows of a key completely. Rows without a key are left out; ``seen``
+    counts them.
     """
     segments = segments or plan_segments(df, keys, order, segment_rows)
     columns = [F.col(c) for c in df.columns]
+    if seen is not None:
+        df = counted_keys(df, keys, seen)
     placed = segments.assign(df.withColumn(_HIT, F.coalesce(hit, F.lit(False))))
     ranked = _ranked(placed, segments)
     carry = F.lit(0)
@@ -49,11 +54,12 @@ def run_alerts(
     n: int = 3,
     segments: Segments | None = None,
     segment_rows: int = SEGMENT_ROWS,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Rows that are at least the ``n``-th hit in a row for their key."""
     if n < 1:
         raise ValueError("a run has at least one event")
-    lengths = run_lengths(df, keys, order, hit, "__run", segments, segment_rows)
+    lengths = run_lengths(df, keys, order, hit, "__run", segments, segment_rows, seen)
     return lengths.where(F.col("__run") >= n).drop("__run")
 
 

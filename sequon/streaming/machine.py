@@ -20,7 +20,8 @@ from sequon.streaming.stretches import reduce_stretches
 
 #: Slots of a time and of a whole number, unless told otherwise.
 SLOT_TIME, SLOT_WIDTH = timedelta(minutes=10), 10_000
-_SYMBOL, _AT, _WHEN, _MOVES = "symbol", "at", "when", "moves"
+_SYMBOL, _AT, _WHEN, _MOVES, _LAST = "symbol", "at", "when", "moves", "last"
+_MICRO = timedelta(microseconds=1)
 
 
 def machine_stream(
@@ -33,6 +34,8 @@ def machine_stream(
     ttl_ms: int | None = None,
     slot: timedelta | int | None = None,
     seen: str | None = None,
+    expire: timedelta | None = None,
+    delay: str = "1 millisecond",
 ) -> DataFrame:
     """Keys and ``keep`` columns of the rows a machine reports.
 
@@ -47,19 +50,28 @@ def machine_stream(
     10,000 of a whole number; a column of another type is one slot. Rows without a key are
     left out; under the name ``seen`` the progress of the query counts them.
     """
+    if expire is not None and ttl_ms is not None:
+        raise ValueError("state expires in event time or in processing time, not in both")
     keep_state_on_disk(df.sparkSession)
     keep = list(keep) if keep is not None else [c for c in df.columns if c not in keys]
     key_names = [f"key{i}" for i in range(len(keys))]
     order_names = [f"order{i}" for i in range(len(order))]
     kept_names = [f"kept{i}" for i in range(len(keep))]
-    own = df.where(has_key(keys)) if seen is None else counted_keys(df, keys, seen)
+    ts = None
+    if expire is not None:
+        ts, df = order[0], df.withWatermark(order[0], delay)
+    own = df.where(has_key(keys)) if seen is None else counted_keys(df, keys, seen, ts)
+    if ts is not None:
+        # Rows without a key move time on as well, so the watermark comes first.
+        own = own.where(F.col(ts).isNotNull())
     flat = own.select(
         *[F.col(c).alias(n) for c, n in zip(keys, key_names)],
         *[plain(df, c).alias(n) for c, n in zip(order, order_names)],
         *[plain(df, c).alias(n) for c, n in zip(keep, kept_names)],
         machine.symbol(event).alias(_SYMBOL),
     )
-    moves, reports = machine.table()
+    moves, reports = machine.table() if expire is None else machine.expiring_table()
+    longest = None if expire is None else expire // _MICRO
     fields = {f.name: T.StructField(f.name, f.dataType) for f in flat.schema}
     pieces = T.StructType(
         [
@@ -67,20 +79,25 @@ def machine_stream(
             T.StructField(_AT, T.LongType()),
             T.StructField(_WHEN, T.ArrayType(T.BooleanType())),
             T.StructField(_MOVES, T.ArrayType(state_type(moves))),
+            *([] if expire is None else [T.StructField(_LAST, T.LongType())]),
         ]
     )
 
     def reduce(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        return reduced(rows, starts, moves, reports, key_names, order_names, kept_names)
+        names = key_names, order_names, kept_names
+        return reduced(rows, starts, moves, reports, *names, longest)
 
     place = _place(df, order[0], order_names[0], slot)
     stretches = reduce_stretches(flat, key_names, order_names, place, pieces, reduce)
     out = T.StructType([fields[n] for n in (*key_names, *kept_names)])
+    if longest is not None:
+        processor = ExpiringState(out, order_names, longest, state_type(moves))
+        mode = "EventTime"
+    else:
+        processor = KeptState(out, order_names, ttl_ms, state_type(moves))
+        mode = "None" if ttl_ms is None else "ProcessingTime"
     alerts = stretches.groupBy(*key_names).transformWithState(
-        KeptState(out, order_names, ttl_ms, state_type(moves)),
-        out,
-        outputMode="Append",
-        timeMode="None" if ttl_ms is None else "ProcessingTime",
+        processor, out, outputMode="Append", timeMode=mode
     )
     return alerts.select(
         *[F.col(n).alias(c) for c, n in zip(keys, key_names)],
@@ -108,14 +125,20 @@ def reduced(
     keys: Sequence[str],
     order: Sequence[str],
     kept: Sequence[str],
+    expire: int | None = None,
 ) -> Iterator[pa.RecordBatch]:
     """Stretches of keys, from sorted rows.
 
     A stretch gives a row per event that at least one entry state would report, with
     ``when`` true for those states, then a row with its ``moves``. All carry the
-    order of the first event of the stretch.
+    order of the first event of the stretch. With ``expire``, in microseconds, the row of the
+    moves also has the time of the last event, and ``moves`` is an expiring table.
     """
     symbol = rows.column(_SYMBOL).to_numpy()
+    if expire is not None:
+        at = rows.column(order[0]).to_numpy()
+        late = ~starts & (np.diff(at, prepend=at[:1]) >= expire)
+        symbol = symbol + late * (len(moves) // 2)
     step, states = moves[symbol], moves.shape[1]
     before, _ = states_before(step, starts, np.arange(states, dtype=moves.dtype), None)
     when = np.take_along_axis(reports[symbol], before.astype(np.intp), axis=1)
@@ -127,16 +150,20 @@ def reduced(
     def taken(names: Sequence[str], at: np.ndarray) -> list:
         return [rows.column(n).take(pa.array(at)) for n in names]
 
-    names = [*keys, *order, *kept, _AT, _WHEN, _MOVES]
+    names = [*keys, *order, *kept, _AT, _WHEN, _MOVES, *([] if expire is None else [_LAST])]
     if len(reported):
         columns = [*taken(keys, reported), *taken(order, first[stretch]), *taken(kept, reported)]
         none = pa.nulls(len(reported), pa.list_(pa.from_numpy_dtype(moves.dtype)))
         columns += [pa.array(reported), lists(when[reported]), none]
+        if expire is not None:
+            columns.append(pa.nulls(len(reported), pa.int64()))
         yield from pa.table(columns, names=names).to_batches()
     after = np.take_along_axis(step[last], before[last].astype(np.intp), axis=1)
     columns = [*taken(keys, first), *taken(order, first)]
     columns += [pa.nulls(len(first), rows.schema.field(n).type) for n in kept]
     columns += [pa.array(last), pa.nulls(len(first), pa.list_(pa.bool_())), lists(after)]
+    if expire is not None:
+        columns.append(pa.array(at[last]))
     yield from pa.table(columns, names=names).to_batches()
 
 
@@ -156,9 +183,17 @@ class KeptState(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         state = self.state.get()[0] if self.state.exists() else 0
-        # A stretch keeps its reported rows in front of its moves.
-        # Nulls come first, as Spark sorts them.
-        pieces = sorted(
+        for piece in self._in_order(rows):
+            if piece[_MOVES] is not None:
+                state = piece[_MOVES][state]
+            elif piece[_WHEN][state]:
+                yield self.result(*key, *[piece[n] for n in self.kept])
+        self.state.update((state,))
+
+    def _in_order(self, rows) -> list:
+        """A stretch keeps its reported rows in front of its moves; nulls come first, as Spark
+        sorts them."""
+        return sorted(
             rows,
             key=lambda r: (
                 *[(r[n] is not None, r[n]) for n in self.order],
@@ -166,12 +201,57 @@ class KeptState(StatefulProcessor):
                 r[_AT],
             ),
         )
-        for piece in pieces:
-            if piece[_MOVES] is not None:
-                state = piece[_MOVES][state]
-            elif piece[_WHEN][state]:
-                yield self.result(*key, *[piece[n] for n in self.kept])
-        self.state.update((state,))
 
     def close(self) -> None:
         pass
+
+
+class ExpiringState(KeptState):
+    """State that ends ``expire`` microseconds of event time after the latest row of its key.
+
+    The initial state is the same as none, so it is not kept. A key that has state has one
+    timer; when it goes off early, because rows have come since, it is set anew.
+    """
+
+    def __init__(self, out: T.StructType, order: Sequence[str], expire: int, kind: T.DataType):
+        super().__init__(out, order, None, kind)
+        self.expire = expire
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        names = ("last", T.LongType()), ("timer", T.LongType())
+        fields = [T.StructField("state", self.kind), *[T.StructField(*n) for n in names]]
+        self.state = handle.getValueState("state", T.StructType(fields))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        held = self.state.exists()
+        state, last, timer = self.state.get() if held else (0, None, None)
+        if held and last + self.expire <= now:
+            state = 0
+        for piece in self._in_order(rows):
+            begins = piece[self.order[0]]
+            entry = 0 if last is not None and begins - last >= self.expire else state
+            if piece[_MOVES] is not None:
+                state = piece[_MOVES][entry]
+                last = piece[_LAST] if last is None else max(last, piece[_LAST])
+            elif piece[_WHEN][entry]:
+                yield self.result(*key, *[piece[n] for n in self.kept])
+        if state:
+            self.state.update((state, last, timer or self._wake(last)))
+        elif held:
+            self.state.clear()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.state.exists():
+            state, last, timer = self.state.get()
+            if last + self.expire <= timerValues.getCurrentWatermarkInMs() * 1000:
+                self.state.clear()
+            elif timer == expiredTimerInfo.getExpiryTimeInMs():
+                self.state.update((state, last, self._wake(last)))
+        return iter(())
+
+    def _wake(self, last: int) -> int:
+        at = -(-(last + self.expire) // 1000)
+        self.handle.registerTimer(at)
+        return at

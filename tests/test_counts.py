@@ -1,8 +1,13 @@
 """Rows that operators refuse are counted where they are refused."""
 
+from datetime import timedelta
+
+import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from sequon.operators.machine import run_machine
+from sequon.operators.runs import run_alerts, run_lengths
 from sequon.operators.sequence import match
 from sequon.sources.sinks import write_outputs
 from sequon.streaming.counts import counted
@@ -28,6 +33,25 @@ def test_table(spark, tmp_path):
         assert seen.get == {"accepted": 2, "rejected": 2, "untimed": 1}
 
 
+@pytest.mark.parametrize("segment_rows", [2_000_000, 1])
+def test_runs_and_machines_over_tables(spark, tmp_path, segment_rows):
+    add_files(tmp_path / "in", [[*ROWS, ("b", 0, 7, "create")]])
+    rows = without_time(spark.read.schema(SCHEMA).parquet(str(tmp_path / "in")))
+    order, hit, options = ["at", "tie"], F.col("kind") == "create", {"segment_rows": segment_rows}
+    for run, kept in ((run_lengths, 3), (run_alerts, 0)):
+        seen = Observation()
+        assert len(run(rows, ["key"], order, hit, seen=seen, **options).collect()) == kept
+        assert seen.get == {"accepted": 3, "rejected": 2}
+    seen = Observation()
+    args = rows, ALERT, ["key"], order, F.col("kind")
+    assert len(run_machine(*args, seen=seen, **options).collect()) == 3
+    assert seen.get == {"accepted": 3, "rejected": 2}
+    seen = Observation()
+    found = run_machine(*args, seen=seen, expire=timedelta(days=1), **options)
+    assert len(found.collect()) == 2
+    assert seen.get == {"accepted": 2, "rejected": 2, "untimed": 1}
+
+
 def test_sequence_stream(spark, tmp_path):
     batches = [
         [*ROWS, ("b", 0, 7, "create")],

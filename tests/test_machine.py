@@ -1,6 +1,7 @@
 """Runs and machines against a plain interpreter."""
 
 import random
+from datetime import datetime, timedelta, timezone
 
 import numpy as np
 import pytest
@@ -251,3 +252,46 @@ def test_reduced_stretches():
     for key, events in trace.items():
         expected = [i for i, (_, alert) in enumerate(interpret(TURNSTILE, events)) if alert]
         assert alerts[key] == expected
+
+
+MINUTE = timedelta(minutes=1)
+
+
+def timed_table(spark, seed, size=120):
+    """Events at most twenty minutes apart, several at one time, some gaps exactly ten."""
+    rng, at, rows = random.Random(seed), datetime(2024, 1, 1, tzinfo=timezone.utc), []
+    for i in range(size):
+        at += rng.choice([0, 1, 2, 10, 20]) * MINUTE
+        rows.append((rng.choice("kkkab"), at, i, rng.choice(["coin", "push", "kick", "fail", "fail", None])))
+    return rows, spark.createDataFrame(rows, "key string, at timestamp, place int, kind string")
+
+
+@pytest.mark.parametrize("segment_rows", [2_000_000, 8, 1])
+@pytest.mark.parametrize("machine", [ALERT, TURNSTILE])
+def test_expiry(spark, machine, segment_rows):
+    """State ends where a row comes ten minutes or more after the one before it."""
+    rows, events = timed_table(spark, segment_rows)
+    expected = {}
+    for key in "kab":
+        stretch, last = [], None
+        for row in [r for r in rows if r[0] == key]:
+            if last is not None and row[1] - last >= 10 * MINUTE:
+                stretch = []
+            stretch.append(row[3])
+            last = row[1]
+            expected[row[2]] = interpret(machine, stretch)[-1]
+    untimed = events.limit(5).withColumn("at", F.lit(None).cast("timestamp")).withColumn("place", F.lit(-1))
+    found = run_machine(
+        events.union(untimed), machine, ["key"], ["at", "place"], F.col("kind"),
+        segment_rows=segment_rows, expire=10 * MINUTE,
+    )
+    assert {r.place: (r.state, r.matched) for r in found.collect()} == expected
+
+
+def test_expiry_shares_the_exchange(spark):
+    events = timed_table(spark, 3)[1]
+    found = run_machine(
+        events, ALERT, ["key"], ["at", "place"], F.col("kind"), expire=10 * MINUTE
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1

@@ -237,10 +237,10 @@ def machine_alerts_of(spark, tmp_path, machine, **options):
     return found.withColumn("label", F.lit("warning"))
 
 
-def same_alerts(spark, tmp_path, machine):
+def same_alerts(spark, tmp_path, machine, **options):
     found = read_output(spark, str(tmp_path / "out"), "warning", "label")
     table = spark.read.schema(SCHEMA).parquet(str(tmp_path / "in"))
-    expected = machine_alerts(table, machine, ["key"], ["at", "tie"], F.col("kind"))
+    expected = machine_alerts(table, machine, ["key"], ["at", "tie"], F.col("kind"), **options)
     rows = sorted(map(tuple, found.select("key", "tie", "at").collect()))
     assert rows == sorted(map(tuple, expected.select("key", "tie", "at").collect()))
     assert len(rows) > 5
@@ -288,3 +288,34 @@ def test_machine_with_expiry(spark, tmp_path):
     finally:
         query.stop()
     same_alerts(spark, tmp_path, ALERT)
+
+
+@pytest.mark.parametrize("machine", [ALERT, TURNSTILE])
+def test_machine_with_expiry_in_event_time(spark, tmp_path, machine):
+    """It ends with its input, gives what the table gives, and lets go of old state."""
+    rng, at, batches, expire = random.Random(7), 0, [], timedelta(milliseconds=40)
+    kinds = ["fail", "fail", "success", "coin", "coin", "push", "kick", None]
+    for i in range(12):
+        rows = []
+        for j in range(60):
+            at += rng.choice([0, 1, 5, 20 if i % 3 else 1])
+            rows.append((rng.choice(["a", "a", "b", "c", f"only{i}"]), at, 100 * i + j, rng.choice(kinds)))
+        rng.shuffle(rows)
+        batches.append(rows)
+    batches.append([("z", at + 10**6, 0, "other")])
+    add_files(tmp_path / "in", batches)
+    for slot in (timedelta(milliseconds=30), None):
+        place = tmp_path / f"slot{slot is None}"
+        place.mkdir()
+        alerts = machine_alerts_of(spark, tmp_path, machine, expire=expire, slot=slot)
+        query = finish(write_outputs(alerts, str(place / "out"), str(place / "progress"), "label"))
+        (place / "in").symlink_to(tmp_path / "in")
+        same_alerts(spark, place, machine, expire=expire)
+        held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+        assert max(held) > 0 and held[-1] == 0
+
+
+def test_expiry_of_one_kind(spark, tmp_path):
+    add_files(tmp_path / "in", [[("a", 0, 0, "fail")]])
+    with pytest.raises(ValueError):
+        machine_alerts_of(spark, tmp_path, ALERT, ttl_ms=1, expire=timedelta(1))
