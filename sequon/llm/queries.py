@@ -108,7 +108,7 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    found = decontaminate.search(docs, read(spark, folder, "benchmark"))
+    found = decontaminate.search(docs, read(spark, folder, "benchmark"), columns=["doc_id"])
     return found.select(
         "row.doc_id",
         "found.n_words",
