@@ -45,8 +45,9 @@ def machine_stream(
     state, so it does not end by itself even under an available-now trigger.
 
     Within a slot of its first order column, the rows of a key are reduced to one function
-    from state to state and the rows that some state would report. Only those reach the task
-    that holds the state of the key. ``slot`` is how wide slots are: ten minutes of a time,
+    from state to state and the rows that some state would report. Rows that every state would
+    report go straight to the output; only the others and the function reach the task that
+    holds the state of the key. ``slot`` is how wide slots are: ten minutes of a time,
     10,000 of a whole number; a column of another type is one slot. Rows without a key are
     left out; under the name ``seen`` the progress of the query counts them.
     """
@@ -96,8 +97,12 @@ def machine_stream(
     else:
         processor = KeptState(out, order_names, ttl_ms, state_type(moves))
         mode = "None" if ttl_ms is None else "ProcessingTime"
-    alerts = stretches.groupBy(*key_names).transformWithState(
-        processor, out, outputMode="Append", timeMode=mode
+    # Both parts read the same exchange: stretches are the same whoever asks.
+    alerts = (
+        stretches.where(~_certain())
+        .groupBy(*key_names)
+        .transformWithState(processor, out, outputMode="Append", timeMode=mode)
+        .unionByName(stretches.where(_certain()).select(*out.names))
     )
     return alerts.select(
         *[F.col(n).alias(c) for c, n in zip(keys, key_names)],
@@ -105,6 +110,11 @@ def machine_stream(
     )
 
 
+def _certain() -> Column:
+    """Whether a row of a stretch is reported whatever the state before the stretch."""
+    return F.coalesce(F.forall(F.col(_WHEN), lambda w: w), F.lit(False))
+
+
 def _place(df: DataFrame, column: str, name: str, slot: timedelta | int | None) -> Column:
     """The slot of a row; times are held as whole microseconds."""
     kind = df.schema[column].dataType

@@ -1,9 +1,10 @@
 """Stretches: the rows of one key within one slot of its order, in one micro-batch.
 
 Rows are dealt out by the hash of key and slot, so that the rows of a hot key go to many tasks
-and the source is read once. Each task reduces a stretch to what the state of the key needs to
-know; what passes from one slot to the next is carried by that state. The same rows always form
-the same stretches.
+and the source is read once. A task takes its stretches in parts, brought together by a sort that
+Spark spills, and Python holds one part at a time: the largest stretch, or a ``PARTS``-th of the
+task. Each stretch is reduced to what the state of the key needs to know; what passes from one
+slot to the next is carried by that state. The same rows always form the same stretches.
 """
 
 from __future__ import annotations
@@ -14,9 +15,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_SLOT = "slot"
+_SLOT, _PART = "slot", "part"
+#: Parts a task has on average; each costs under a millisecond.
+PARTS = 256
 
 
 def reduce_stretches(
@@ -27,22 +31,23 @@ def reduce_stretches(
     schema: T.StructType,
     reduce: Callable[[pa.Table, np.ndarray], Iterator[pa.RecordBatch]],
 ) -> DataFrame:
-    """Give ``reduce`` the rows of each task, in order, with the starts of its stretches.
+    """Give ``reduce`` the rows of each part, in order, with the starts of its stretches.
 
     ``slot`` must not go down along ``order``; null for rows whose place is null.
     """
     sort_by = [(n, "ascending") for n in (*keys, _SLOT, *order)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filled = [b for b in batches if b.num_rows]
-        if filled:
-            rows = pa.Table.from_batches(filled)
-            # Nulls first, as Spark sorts them.
-            places = pc.sort_indices(rows, sort_keys=sort_by, null_placement="at_start")
-            rows = rows.take(places)
-            yield from reduce(rows, stretch_starts(rows, [*keys, _SLOT]))
-
-    return flat.withColumn(_SLOT, slot).repartition(*keys, _SLOT).mapInArrow(run, schema)
+        rows = pa.Table.from_batches(b for b in batches if b.num_rows).drop_columns(_PART)
+        # Nulls first, as Spark sorts them.
+        places = pc.sort_indices(rows, sort_keys=sort_by, null_placement="at_start")
+        rows = rows.take(places)
+        yield from reduce(rows, stretch_starts(rows, [*keys, _SLOT]))
+
+    tasks = int(flat.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = flat.withColumn(_SLOT, slot)
+    part = F.pmod(F.xxhash64(*keys, _SLOT), F.lit(tasks * PARTS))
+    return dealt.withColumn(_PART, part).groupBy(_PART).applyInArrow(run, schema)
 
 
 def stretch_starts(rows: pa.Table, names: Sequence[str]) -> np.ndarray:
