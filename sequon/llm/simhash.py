@@ -27,6 +27,8 @@ from pyspark.sql import types as T
 from sequon.llm.common import kept, small
 
 TILE = 1024
+#: What one task compares, about: pairs of tiles, and pairs of nodes in them.
+TASK_PAIRS, TASK_WORK = 20_000, 1 << 32
 QUARTERS, WIDTH = 4, 16
 #: Words hashed at a time, so that the bits of a very long text are never whole.
 _CHUNK = 1 << 16
@@ -110,12 +112,17 @@ def _forest(pairs: np.ndarray, n: int) -> list[int]:
     return out
 
 
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    """The lists of a column, as views of its values."""
+    values, ends = column.values.to_numpy(), column.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def _compare(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = [], []
-            for a, b, same in zip(batch["mine"], batch["other"], batch["same"]):
-                mine, other = np.array(a.as_py(), np.int64), np.array(b.as_py(), np.int64)
+            columns = _lists(batch["mine"]), _lists(batch["other"]), batch["same"].to_pylist()
+            for mine, other, same in zip(*columns):
                 found = []
                 for at in range(0, len(mine), 256):
                     # Unsigned: of a negative number numpy counts the bits of its absolute value.
@@ -125,42 +132,67 @@ def _compare(radius: int):
                     i, j = np.nonzero(apart <= radius)
                     found.append(np.stack([i + at, j], axis=1))
                 pairs = np.concatenate(found)
-                if same.as_py():
+                if same:
                     pairs = pairs[pairs[:, 0] < pairs[:, 1]]
                     ends = pairs
                 else:
                     ends = pairs + np.array([0, len(mine)])
                 pairs = pairs[_forest(ends, len(mine) + len(other))]
-                left.append(mine[pairs[:, 0]])
-                right.append(other[pairs[:, 1]])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"]
-            )
+                if len(pairs):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(mine[pairs[:, 0]]), pa.array(other[pairs[:, 1]])], names=["a", "b"]
+                    )
 
     return run
 
 
 def links(nodes: DataFrame, radius: int) -> DataFrame:
-    """Links (a, b) that join all different ``fp`` at most ``radius`` bits apart."""
+    """Links (a, b) that join all different ``fp`` at most ``radius`` bits apart.
+
+    Which tiles meet is listed first, by their names, tile by tile. Each pair then fetches its
+    two tiles, dealt out by the second one to as many tasks as the comparisons ask for, so that
+    the pairs of a dense cell go to many tasks.
+    """
     celled = nodes.select("fp", _cell(F.col("fp")).alias("cell"))
-    sizes = celled.groupBy("cell").agg(F.ceil(F.count("*") / TILE).alias("parts"))
     # At most 17^4 cells, however many nodes.
-    placed = celled.join(F.broadcast(sizes), "cell").withColumn(
+    sizes = kept(
+        celled.groupBy("cell").agg(
+            F.ceil(F.count("*") / TILE).alias("parts"), F.count("*").alias("nodes")
+        )
+    )
+    placed = celled.join(F.broadcast(sizes.drop("nodes")), "cell").withColumn(
         "part", F.pmod(F.xxhash64("fp"), F.col("parts"))
     )
     tiles = kept(placed.groupBy("cell", "part").agg(F.collect_list("fp").alias("fps")))
-    mine = tiles.select(
+    near = tiles.select(
         F.col("cell").alias("own"),
         F.col("part").alias("own_part"),
-        F.col("fps").alias("mine"),
+        F.size("fps").alias("own_size"),
         F.explode(_near_cells(F.col("cell"), radius)).alias("cell"),
     )
-    met = mine.join(tiles, "cell").where(
-        (F.col("own") != F.col("cell")) | (F.col("own_part") <= F.col("part"))
+    # A part without nodes is no tile, and falls out where tiles are fetched.
+    met = (
+        near.join(F.broadcast(sizes), "cell")
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .where((F.col("own") != F.col("cell")) | (F.col("own_part") <= F.col("part")))
+        .withColumn("work", F.col("own_size") * F.col("nodes") / F.col("parts"))
+    )
+    names = ["own", "own_part", "cell", "part"]
+    pairs = kept(met.select(*names, "work"))
+    n, work = pairs.agg(F.count("*"), F.coalesce(F.sum("work"), F.lit(0.0))).first()
+    tasks = max(-(-n // TASK_PAIRS), int(work // TASK_WORK) + 1)
+    mine = tiles.select(
+        F.col("cell").alias("own"), F.col("part").alias("own_part"), F.col("fps").alias("mine")
     )
     same = (F.col("own") == F.col("cell")) & (F.col("own_part") == F.col("part"))
-    pairs = met.select("mine", F.col("fps").alias("other"), same.alias("same"))
-    return pairs.mapInArrow(_compare(radius), "a long, b long")
+    fetched = (
+        pairs.select(*names)
+        .join(mine, ["own", "own_part"])
+        .repartition(max(tasks, nodes.sparkSession.sparkContext.defaultParallelism), "cell", "part")
+        .join(tiles, ["cell", "part"])
+        .select("mine", F.col("fps").alias("other"), same.alias("same"))
+    )
+    return fetched.mapInArrow(_compare(radius), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
