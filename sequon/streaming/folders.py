@@ -8,6 +8,7 @@ from uuid import uuid4
 from pyspark.sql import SparkSession
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -25,5 +26,9 @@ def new_folder(spark: SparkSession) -> str:
 
 
 def keep_state_on_disk(spark: SparkSession) -> None:
-    """Use the RocksDB state store, which user-defined state and timers require."""
+    """Use the RocksDB state store, which user-defined state and timers require.
+
+    A micro-batch then writes what it changed, and the whole state now and then.
+    """
     spark.conf.set(_PROVIDER, _ROCKSDB)
+    spark.conf.set(_CHANGELOG, "true")

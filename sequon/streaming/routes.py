@@ -1,7 +1,8 @@
 """Which tasks the steps of a hot key go to, for as long as a stream lives.
 
-The first steps of a hot key are dealt out to several tasks, its second steps are copied to
-each. How many tasks is planned on past rows and may change whenever the stream is started
+The first steps of a hot key are dealt out to several tasks by stretches of time, its second steps
+are copied to those whose first steps they may close, a number that the bound settles, not the
+plan. How many tasks is planned on past rows and may change whenever the stream is started
 anew, while steps dealt out by an earlier plan still wait in the state. So plans are kept, one
 version after the other, beside the checkpoint. A version holds for event times later than any
 the stream had seen when it was added; where a step goes follows from its time and the versions
@@ -23,6 +24,8 @@ from sequon.plans.segments import Segments
 _PARTS, _SINCE, _UNTIL, _VERSION, _ROUTES = "parts", "since", "until", "version", "__routes"
 #: Before and after all times, in microseconds.
 _EVER, _NEVER = -(2**62), 2**62
+#: Stretches of time in a bound; a second step has at most two copies more than that.
+STRETCHES = 4
 
 
 def _read(spark: SparkSession, path: str, reader: str = "parquet") -> DataFrame | None:
@@ -138,19 +141,34 @@ def dealt(
     """Rows with the tasks of their key they go to, that task, and whether the row may start
     a match there.
 
-    A second step goes wherever a first step that is still open may be. A row that is both
-    steps starts its match in one task. Hot keys are at most as many as a plan has cuts.
+    First steps go to a task by their stretch of time, a ``STRETCHES``-th of the bound. A second
+    step goes wherever a first step that is still open may be: to the tasks of the stretches since
+    the bound began, however many tasks there are. A row that is both steps starts its match in one
+    task. Hot keys are at most as many as a plan has cuts.
     """
     parted = steps.join(F.broadcast(routes), keys, "left")
     at, bound = F.unix_micros(ts), within // timedelta(microseconds=1)
     spans = F.coalesce(_ROUTES, F.array().cast("array<struct<since:bigint,until:bigint,parts:int>>"))
 
-    def most(begin: Column) -> Column:
-        """The most tasks of any version that holds from ``begin`` to the row's time."""
-        held = F.filter(spans, lambda v: (v[_SINCE] <= at) & (v[_UNTIL] > begin))
-        return F.coalesce(F.array_max(F.transform(held, lambda v: v[_PARTS])), F.lit(1))
+    def place(time: Column) -> Column:
+        return F.floor(time / max(1, bound // STRETCHES)).cast("long")
 
-    mine = F.pmod(F.xxhash64(tie), most(at)).cast("int")
-    to = F.when(second, F.sequence(F.lit(0), most(at - bound - 1) - 1)).otherwise(F.array("__mine"))
+    def holding(begin: Column) -> Column:
+        """The versions that hold from ``begin`` to the row's time."""
+        return F.filter(spans, lambda v: (v[_SINCE] <= at) & (v[_UNTIL] > begin))
+
+    def part(slot: Column, version: Column) -> Column:
+        return F.pmod(slot, version[_PARTS]).cast("int")
+
+    mine = F.coalesce(F.get(F.transform(holding(at), lambda v: part(place(at), v)), F.lit(0)), F.lit(0))
+    begin = at - bound - 1
+    slots = F.sequence(place(begin), place(at))
+    open_in = F.flatten(
+        F.transform(holding(begin), lambda v: F.transform(slots, lambda slot: part(slot, v)))
+    )
+    # Where no version held yet, first steps went to task 0.
+    unplanned = F.when(F.exists(spans, lambda v: v[_SINCE] <= begin), F.array().cast("array<int>"))
+    before = F.coalesce(unplanned, F.array(F.lit(0)))
+    to = F.when(second, F.array_union(open_in, before)).otherwise(F.array("__mine"))
     salted = parted.withColumn("__mine", mine).withColumn("__salt", F.explode(to))
     return salted, F.col("__salt"), F.col("__salt") == F.col("__mine")

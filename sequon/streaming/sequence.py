@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from sequon.model import counted_keys, has_key
 from sequon.operators.sequence import MATCHED, TIMED_OUT, Pattern
 from sequon.plans.segments import Segments
 from sequon.streaming.folders import keep_state_on_disk
-from sequon.streaming.kept import plain, typed
+from sequon.streaming.kept import BUCKET, identity, in_buckets, plain, typed
 from sequon.streaming.routes import dealt, fixed_routes, has_routes
 from sequon.streaming.stretches import reduce_stretches
 
@@ -58,7 +59,7 @@ def match_stream(
     Where each micro-batch holds later times than the one before, ``buffered=False``
     takes steps as they come. Matches within a slot of time are then settled on the way,
     by columns, and go straight to the output; only the first second step of a slot and the
-    first steps left open in it reach the state of a key.
+    first steps left open in it reach the state. Keys share states (``streaming.kept``).
 
     Rows without a key or a time are left out; under the name ``seen`` the progress of the
     query counts them. Matches still open when the stream ends are not reported, unless the end of the input
@@ -95,8 +96,9 @@ def match_stream(
         F.col(ts).alias("time"),
     )
     kept = T.StructType([flat.schema[f"kept{i}"] for i in range(len(keep))])
-    step = T.StructType([*[flat.schema[c] for c in (_AT, _TIE, _FIRST, _SECOND)], *kept])
     groups = [flat.schema[f"key{i}"] for i in range(len(keys))]
+    leading = [flat.schema[c] for c in (_AT, _TIE, _FIRST, _SECOND, _SALT)]
+    step = T.StructType([*leading, *groups, *kept])
     out = T.StructType(
         [
             *groups,
@@ -117,8 +119,10 @@ def match_stream(
         settled = reduced.where(F.col(_STATUS).isNotNull())
         flat = reduced.where(F.col(_STATUS).isNull())
     processor = FollowedBy(step, out, within, longest, buffered, wide)
-    found = flat.groupBy(*names, _SALT).transformWithState(
-        processor, out, outputMode="Append", timeMode="EventTime"
+    found = (
+        in_buckets(flat, [*names, _SALT])
+        .groupBy(BUCKET)
+        .transformWithState(processor, out, outputMode="Append", timeMode="EventTime")
     )
     if settled is not None:
         second = F.struct(*[F.col(f"next{i}").alias(f"kept{i}") for i in range(len(keep))])
@@ -199,14 +203,16 @@ def settle(
 
 
 class FollowedBy(StatefulProcessor):
-    """Steps of one key by slices of time: those waiting for the watermark, and open ones.
+    """Steps of the keys of one bucket by slices of time: those waiting for the watermark, and
+    open ones.
 
-    Steps are tuples (at, tie, first, second, *kept). What one micro-batch adds to a slice is
-    a chunk, an entry of a map of its own, so adding never reads what is there. A small index
-    lists, for each slice, its chunks, whether it has second steps and whether it is open: then
-    all its steps are first steps that have been taken and no second step has closed. One timer
-    per slice says that the watermark has passed its end, one that its open steps have timed
-    out. A slice without second steps becomes open without being read.
+    Steps are tuples (at, tie, first, second, salt, *keys, *kept). What one micro-batch adds to a
+    slice is a chunk, an entry of a map of its own, so adding never reads what is there. A small
+    index lists, for each slice, its chunks, whether it has second steps and whether it is open:
+    then all its steps are first steps that have been taken and no second step has closed. One
+    timer says that the watermark has passed the end of a slice or that its open steps have timed
+    out; then all slices that are due are taken at once. Slices after the last second step become
+    open without being read.
 
     Timers are at ends of slices. The open steps of a slice are given up only at the first
     end by which all that could close them has been taken.
@@ -223,6 +229,7 @@ class FollowedBy(StatefulProcessor):
     ):
         self.fields, self.result, self.buffered = step.names, Row(*out.names), buffered
         self.within, self.longest, self.wide = within, longest, wide
+        self.kept = len(step) - sum(f.startswith("kept") for f in step.names)
         self.place = T.StructType([T.StructField("chunk", T.LongType())])
         self.chunk = T.StructType([T.StructField("steps", T.ArrayType(step))])
         entry = T.StructType(
@@ -234,7 +241,11 @@ class FollowedBy(StatefulProcessor):
             ]
         )
         self.listed = T.StructType(
-            [T.StructField("next", T.LongType()), T.StructField("slices", T.ArrayType(entry))]
+            [
+                T.StructField("next", T.LongType()),
+                T.StructField("timer", T.LongType()),
+                T.StructField("slices", T.ArrayType(entry)),
+            ]
         )
 
     def init(self, handle) -> None:
@@ -243,15 +254,20 @@ class FollowedBy(StatefulProcessor):
         self.index = handle.getValueState("index", self.listed)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        steps = [tuple(row[f] for f in self.fields) for row in rows]
+        steps, picked = [], None
+        for row in rows:
+            if picked is None:
+                names = row.__fields__
+                picked = itemgetter(*[names.index(f) for f in self.fields])
+            steps.append(picked(tuple(row)))
         index = _Index(self.index.get())
         if self.buffered:
             self._add(index, steps, False)
         elif any(s[3] for s in steps):
             # Every open step comes before them or among them.
             steps += self._drop(index, [k for k in index.slices if k[1]])
-            still_open, done = self._take(key, steps)
-            yield from done
+            still_open = []
+            yield from self._take(steps, still_open)
             self._add(index, still_open, True)
         else:
             self._add(index, steps, True)
@@ -260,23 +276,23 @@ class FollowedBy(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
         index = _Index(self.index.get())
+        if index.timer == expiredTimerInfo.getExpiryTimeInMs():
+            index.timer = None
         due = sorted(k for k in index.slices if not k[1] and self._end(k[0]) <= now)
+        closing = [k[0] for k in due if index.slices[k][0]]
+        if closing:
+            # Open steps of later slices cannot be closed by steps of these.
+            taken = [k for k in index.slices if k[0] <= closing[-1]]
+            still_open = []
+            yield from self._take(self._drop(index, taken), still_open)
+            self._add(index, still_open, True)
         for ready in due:
-            second, chunks = index.slices[ready]
-            if second:
-                # Open steps of later slices cannot be closed by steps of this one.
-                before = [k for k in index.slices if k[1] and k[0] <= ready[0]]
-                still_open, done = self._take(key, self._drop(index, [ready, *before]))
-                yield from done
-                self._add(index, still_open, True)
-            else:
-                del index.slices[ready]
-                self._open(index, ready[0], chunks)
+            if ready in index.slices:
+                self._open(index, ready[0], index.slices.pop(ready)[1])
         late = sorted(k for k in index.slices if k[1] and self._gone(k[0]) <= now)
         for step in self._drop(index, late):
-            yield self._out(key, step)
-        if due or late:
-            self._keep(index)
+            yield self._out(step)
+        self._keep(index)
 
     def close(self) -> None:
         pass
@@ -288,9 +304,6 @@ class FollowedBy(StatefulProcessor):
         """The end of a slice by which open steps of this one have timed out."""
         return -(-(self._end(place) + self.within) // self.wide) * self.wide
 
-    def _wake(self, micros: int) -> None:
-        self.handle.registerTimer(-(-micros // 1000))
-
     def _add(self, index: _Index, steps: list, is_open: bool) -> None:
         """Put steps into their slices, a chunk to each."""
         by_slice: dict[int, list] = {}
@@ -302,15 +315,11 @@ class FollowedBy(StatefulProcessor):
             if is_open:
                 self._open(index, place, [chunk])
             else:
-                if (place, False) not in index.slices:
-                    self._wake(self._end(place))
                 second, chunks = index.slices.get((place, False), (False, []))
                 second = second or any(s[3] for s in own)
                 index.slices[place, False] = second, [*chunks, chunk]
 
     def _open(self, index: _Index, place: int, chunks: list[int]) -> None:
-        if (place, True) not in index.slices:
-            self._wake(self._gone(place))
         _, own = index.slices.get((place, True), (False, []))
         index.slices[place, True] = False, [*own, *chunks]
 
@@ -323,36 +332,47 @@ class FollowedBy(StatefulProcessor):
                 self.chunks.removeKey((chunk,))
         return steps
 
-    def _take(self, key, steps: list) -> tuple[list, list[Row]]:
-        """Let steps, in time order, close open first steps or open new ones."""
-        still_open, done = [], []
+    def _take(self, steps: list, still_open: list) -> Iterator[Row]:
+        """Let steps, in time order, close open first steps of their key or open new ones;
+        ``still_open`` gets those that are left."""
+        waiting: dict[tuple, list] = {}
         for step in sorted(steps, key=_in_order):
-            if step[3] and still_open:
-                done += [self._out(key, first, step) for first in still_open]
-                still_open = []
+            own = identity(step[4 : self.kept])
+            if step[3]:
+                for first in waiting.pop(own, ()):
+                    yield self._out(first, step)
             if step[2]:
-                still_open.append(step)
+                waiting.setdefault(own, []).append(step)
         # A step held as open is a first step, whatever else it was.
-        return [(*s[:3], False, *s[4:]) for s in still_open], done
+        still_open += [(*s[:3], False, *s[4:]) for own in waiting.values() for s in own]
 
-    def _out(self, key, first: tuple, second: tuple | None = None) -> Row:
+    def _out(self, first: tuple, second: tuple | None = None) -> Row:
         matched = second is not None and second[0] - first[0] <= self.longest
         status = MATCHED if matched else TIMED_OUT
-        return self.result(*key[:-1], first[4:], second[4:] if matched else None, status)
+        after = second[self.kept :] if matched else None
+        return self.result(*first[5 : self.kept], first[self.kept :], after, status)
 
     def _keep(self, index: _Index) -> None:
+        """Write the index, with a timer for the slice that is due next."""
+        ends = [self._gone(place) if is_open else self._end(place) for place, is_open in index.slices]
+        wake = -(-min(ends) // 1000) if ends else None
+        if wake != index.timer:
+            if index.timer is not None:
+                self.handle.deleteTimer(index.timer)
+            if wake is not None:
+                self.handle.registerTimer(wake)
         if index.slices:
             entries = [(p, o, s, c) for (p, o), (s, c) in index.slices.items()]
-            self.index.update((index.next, entries))
+            self.index.update((index.next, wake, entries))
         else:
             self.index.clear()
 
 
 class _Index:
-    """Chunks by (slice, open), and whether there are second steps among them."""
+    """Chunks by (slice, open), whether there are second steps among them, and the timer."""
 
     def __init__(self, kept: tuple | None):
-        self.next, entries = (kept[0], kept[1]) if kept is not None else (0, [])
+        self.next, self.timer, entries = kept if kept is not None else (0, None, [])
         self.slices = {(e[0], e[1]): (e[2], list(e[3])) for e in entries}
 
 
