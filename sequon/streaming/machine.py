@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql.streaming import StatefulProcessor
 from sequon.model import counted_keys, has_key
 from sequon.operators.machine import Machine, lists, state_type, states_before
 from sequon.streaming.folders import keep_state_on_disk
-from sequon.streaming.kept import TIMES, plain, typed
+from sequon.streaming.kept import BUCKET, TIMES, identity, in_buckets, plain, typed
 from sequon.streaming.stretches import reduce_stretches
 
 #: Slots of a time and of a whole number, unless told otherwise.
@@ -47,7 +48,7 @@ def machine_stream(
     Within a slot of its first order column, the rows of a key are reduced to one function
     from state to state and the rows that some state would report. Rows that every state would
     report go straight to the output; only the others and the function reach the task that
-    holds the state of the key. ``slot`` is how wide slots are: ten minutes of a time,
+    holds the state of the key, which it shares with others (``streaming.kept``). ``slot`` is how wide slots are: ten minutes of a time,
     10,000 of a whole number; a column of another type is one slot. Rows without a key are
     left out; under the name ``seen`` the progress of the query counts them.
     """
@@ -92,15 +93,15 @@ def machine_stream(
     stretches = reduce_stretches(flat, key_names, order_names, place, pieces, reduce)
     out = T.StructType([fields[n] for n in (*key_names, *kept_names)])
     if longest is not None:
-        processor = ExpiringState(out, order_names, longest, state_type(moves))
+        processor = ExpiringState(pieces, out, longest, state_type(moves))
         mode = "EventTime"
     else:
-        processor = KeptState(out, order_names, ttl_ms, state_type(moves))
+        processor = KeptState(pieces, out, ttl_ms, state_type(moves))
         mode = "None" if ttl_ms is None else "ProcessingTime"
     # Both parts read the same exchange: stretches are the same whoever asks.
     alerts = (
-        stretches.where(~_certain())
-        .groupBy(*key_names)
+        in_buckets(stretches.where(~_certain()), key_names)
+        .groupBy(BUCKET)
         .transformWithState(processor, out, outputMode="Append", timeMode=mode)
         .unionByName(stretches.where(_certain()).select(*out.names))
     )
@@ -178,90 +179,131 @@ def reduced(
 
 
 class KeptState(StatefulProcessor):
-    """Runs the stretches of one key through its state."""
+    """Runs the stretches of the keys of one bucket through their states.
 
-    def __init__(
-        self, out: T.StructType, order: Sequence[str], ttl_ms: int | None, kind: T.DataType
-    ):
-        self.result, self.order, self.ttl_ms = Row(*out.names), list(order), ttl_ms
-        self.kind = kind
-        self.kept = [n for n in out.names if n.startswith("kept")]
+    The initial state is the same as none, so it is not kept. A state has a number besides: in
+    ``KeptState`` the processing time, in milliseconds, at which it expires, if it does.
+    """
+
+    def __init__(self, pieces: T.StructType, out: T.StructType, ttl_ms: int | None, kind: T.DataType):
+        self.fields, self.result, self.ttl_ms = pieces.names, Row(*out.names), ttl_ms
+        keys = [f for f in out if f.name.startswith("key")]
+        self.keys, self.kept = slice(0, len(keys)), self._span("kept")
+        self.order = self._span("order")
+        self.at, self.when, self.moves = (pieces.names.index(n) for n in (_AT, _WHEN, _MOVES))
+        extra = ("state", kind), ("number", T.LongType())
+        self.entry = T.StructType([*keys, *[T.StructField(*f) for f in extra]])
+
+    def _span(self, prefix: str) -> slice:
+        """Where the fields of that name are; they are next to one another."""
+        own = [i for i, f in enumerate(self.fields) if f.startswith(prefix)]
+        return slice(own[0], own[-1] + 1) if own else slice(0, 0)
 
     def init(self, handle) -> None:
-        kind = T.StructType([T.StructField("state", self.kind)])
+        self.handle = handle
+        fields = ("timer", T.LongType()), ("entries", T.ArrayType(self.entry))
+        kind = T.StructType([T.StructField(*f) for f in fields])
         self.state = handle.getValueState("state", kind, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        state = self.state.get()[0] if self.state.exists() else 0
+        timer, held = self._held()
+        until = None
+        if self.ttl_ms is not None:
+            now = timerValues.getCurrentProcessingTimeInMs()
+            held = {own: e for own, e in held.items() if e[-1] > now}
+            until = now + self.ttl_ms
         for piece in self._in_order(rows):
-            if piece[_MOVES] is not None:
-                state = piece[_MOVES][state]
-            elif piece[_WHEN][state]:
-                yield self.result(*key, *[piece[n] for n in self.kept])
-        self.state.update((state,))
+            own = identity(piece[self.keys])
+            entry = held.get(own)
+            state = entry[-2] if entry is not None else 0
+            if piece[self.moves] is not None:
+                held[own] = (*piece[self.keys], piece[self.moves][state], until)
+            elif piece[self.when][state]:
+                yield self.result(*piece[self.keys], *piece[self.kept])
+        self._keep(held, timer)
+
+    def _held(self) -> tuple[int | None, dict[tuple, tuple]]:
+        """The timer, and entries (*keys, state, number) by key."""
+        timer, entries = self.state.get() or (None, [])
+        return timer, {identity(tuple(e)[self.keys]): tuple(e) for e in entries}
+
+    def _keep(self, held: dict[tuple, tuple], timer: int | None) -> None:
+        entries = [e for e in held.values() if e[-2]]
+        wake = self._wake(entries)
+        if wake != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if wake is not None:
+                self.handle.registerTimer(wake)
+        if entries:
+            self.state.update((wake, entries))
+        else:
+            self.state.clear()
+
+    def _wake(self, entries: list[tuple]) -> int | None:
+        return None
 
-    def _in_order(self, rows) -> list:
+    def _in_order(self, rows) -> list[tuple]:
         """A stretch keeps its reported rows in front of its moves; nulls come first, as Spark
         sorts them."""
-        return sorted(
-            rows,
-            key=lambda r: (
-                *[(r[n] is not None, r[n]) for n in self.order],
-                r[_MOVES] is not None,
-                r[_AT],
-            ),
+        pieces, picked = [], None
+        for row in rows:
+            if picked is None:
+                names = row.__fields__
+                picked = itemgetter(*[names.index(f) for f in self.fields])
+            pieces.append(picked(tuple(row)))
+        order, moves, at = self.order, self.moves, self.at
+        pieces.sort(
+            key=lambda p: (
+                *[(v is not None, v) for v in p[order]],
+                p[moves] is not None,
+                p[at],
+            )
         )
+        return pieces
 
     def close(self) -> None:
         pass
 
 
 class ExpiringState(KeptState):
-    """State that ends ``expire`` microseconds of event time after the latest row of its key.
+    """States that end ``expire`` microseconds of event time after the latest row of their key;
+    the number of a state is the time of that row.
 
-    The initial state is the same as none, so it is not kept. A key that has state has one
-    timer; when it goes off early, because rows have come since, it is set anew.
+    A bucket that has states has one timer, for the one that ends first.
     """
 
-    def __init__(self, out: T.StructType, order: Sequence[str], expire: int, kind: T.DataType):
-        super().__init__(out, order, None, kind)
-        self.expire = expire
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        names = ("last", T.LongType()), ("timer", T.LongType())
-        fields = [T.StructField("state", self.kind), *[T.StructField(*n) for n in names]]
-        self.state = handle.getValueState("state", T.StructType(fields))
+    def __init__(self, pieces: T.StructType, out: T.StructType, expire: int, kind: T.DataType):
+        super().__init__(pieces, out, None, kind)
+        self.expire, self.last = expire, pieces.names.index(_LAST)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        held = self.state.exists()
-        state, last, timer = self.state.get() if held else (0, None, None)
-        if held and last + self.expire <= now:
-            state = 0
+        timer, held = self._held()
+        for own, entry in held.items():
+            if entry[-1] + self.expire <= now:
+                held[own] = (*entry[:-2], 0, entry[-1])
         for piece in self._in_order(rows):
-            begins = piece[self.order[0]]
-            entry = 0 if last is not None and begins - last >= self.expire else state
-            if piece[_MOVES] is not None:
-                state = piece[_MOVES][entry]
-                last = piece[_LAST] if last is None else max(last, piece[_LAST])
-            elif piece[_WHEN][entry]:
-                yield self.result(*key, *[piece[n] for n in self.kept])
-        if state:
-            self.state.update((state, last, timer or self._wake(last)))
-        elif held:
-            self.state.clear()
+            own = identity(piece[self.keys])
+            entry = held.get(own)
+            state, last = entry[-2:] if entry is not None else (0, None)
+            if last is not None and piece[self.order][0] - last >= self.expire:
+                state = 0
+            if piece[self.moves] is not None:
+                last = piece[self.last] if last is None else max(last, piece[self.last])
+                held[own] = (*piece[self.keys], piece[self.moves][state], last)
+            elif piece[self.when][state]:
+                yield self.result(*piece[self.keys], *piece[self.kept])
+        self._keep(held, timer)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.state.exists():
-            state, last, timer = self.state.get()
-            if last + self.expire <= timerValues.getCurrentWatermarkInMs() * 1000:
-                self.state.clear()
-            elif timer == expiredTimerInfo.getExpiryTimeInMs():
-                self.state.update((state, last, self._wake(last)))
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        timer, held = self._held()
+        if timer == expiredTimerInfo.getExpiryTimeInMs():
+            timer = None
+        self._keep({own: e for own, e in held.items() if e[-1] + self.expire > now}, timer)
         return iter(())
 
-    def _wake(self, last: int) -> int:
-        at = -(-(last + self.expire) // 1000)
-        self.handle.registerTimer(at)
-        return at
+    def _wake(self, entries: list[tuple]) -> int | None:
+        ends = min((e[-1] for e in entries), default=None)
+        return None if ends is None else -(-(ends + self.expire) // 1000)

@@ -3,7 +3,7 @@
 Rows are dealt out by the hash of key and slot, so that the rows of a hot key go to many tasks
 and the source is read once. A task takes its stretches in parts, brought together by a sort that
 Spark spills, and Python holds one part at a time: the largest stretch, or a ``PARTS``-th of the
-task. Each stretch is reduced to what the state of the key needs to know; what passes from one
+task; with many tasks a ``MOST_PARTS``-th of the micro-batch. Each stretch is reduced to what the state of the key needs to know; what passes from one
 slot to the next is carried by that state. The same rows always form the same stretches.
 """
 
@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _SLOT, _PART = "slot", "part"
-#: Parts a task has on average; each costs under a millisecond.
+#: Parts a task has on average; each costs a millisecond or more, however few its rows.
 PARTS = 256
+#: Most parts of all tasks, unless there are more tasks than that.
+MOST_PARTS = 2048
 
 
 def reduce_stretches(
@@ -46,7 +48,8 @@ def reduce_stretches(
 
     tasks = int(flat.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = flat.withColumn(_SLOT, slot)
-    part = F.pmod(F.xxhash64(*keys, _SLOT), F.lit(tasks * PARTS))
+    parts = max(tasks, min(tasks * PARTS, MOST_PARTS))
+    part = F.pmod(F.xxhash64(*keys, _SLOT), F.lit(parts))
     return dealt.withColumn(_PART, part).groupBy(_PART).applyInArrow(run, schema)
 
 

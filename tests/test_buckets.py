@@ -2,21 +2,26 @@
 
 from datetime import timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from sequon.streaming.kept import BUCKETS, identity
 from sequon.streaming.routes import STRETCHES, dealt
+from sequon.streaming.stretches import MOST_PARTS, reduce_stretches
 from sequon.operators.sequence import match
 from sequon.sources.ending import mark_end, run_to_end, with_end
 from sequon.sources.sinks import write_outputs
+from test_machine import ALERT
 from test_streams import (
     add_files,
     finish,
     in_table,
+    machine_alerts_of,
     match_stream,
     outcomes,
     paying,
+    same_alerts,
     stream,
 )
 
@@ -31,6 +36,17 @@ def wide(kinds):
     return [rows[: KEYS + 300], rows[KEYS + 300 :]]
 
 
+@pytest.mark.parametrize("expire", [None, timedelta(minutes=30)])
+def test_keys_of_a_machine_share_states(spark, tmp_path, expire):
+    add_files(tmp_path / "in", wide(["fail", "fail", "fail", "fail"]))
+    alerts = machine_alerts_of(spark, tmp_path, ALERT, expire=expire)
+    query = finish(write_outputs(alerts, str(tmp_path / "out"), str(tmp_path / "progress"), "label"))
+    same_alerts(spark, tmp_path, ALERT, expire=expire)
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    # A state and, with expiry, its timer, which Spark lists twice.
+    assert 0 < max(held) <= BUCKETS * (1 if expire is None else 3)
+
+
 @pytest.mark.parametrize("buffered", [True, False])
 def test_keys_of_a_sequence_share_states(spark, tmp_path, buffered):
     add_files(tmp_path / "in", wide(["create", "create", "pay", "modify", "create"]))
@@ -80,6 +96,21 @@ def test_copies_do_not_grow_with_parts(spark, parts):
     assert outcomes(found) == outcomes(one.select("key", "create", "pay", "status"))
 
 
+def test_parts_do_not_grow_with_tasks(spark):
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        rows = spark.range(20_000).select(F.col("id").cast("string").alias("key"), F.col("id").alias("at"))
+
+        def size(part, starts):
+            yield pa.RecordBatch.from_pydict({"rows": [part.num_rows]})
+
+        found = reduce_stretches(rows, ["key"], ["at"], F.lit(0), "rows long", size).toPandas()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+    assert found["rows"].sum() == 20_000 and len(found) <= MOST_PARTS
+
+
 def test_identity():
     assert identity((float("nan"), bytearray(b"x"), [1])) == identity((float("nan"), b"x", [1]))
     assert identity((0.0, None)) == identity((-0.0, None)) != identity((0.0, "NaN"))
