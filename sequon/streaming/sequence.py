@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
-from operator import itemgetter
+from itertools import batched
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor
 
 from sequon.model import counted_keys, has_key
@@ -22,12 +25,14 @@ from sequon.streaming.routes import dealt, fixed_routes, has_routes
 from sequon.streaming.stretches import reduce_stretches
 
 _SALT, _AT, _TIE, _FIRST, _SECOND = "salt", "at", "tie", "is_first", "is_second"
-_STATUS = "status"
+_STATUS, _STEP, _FOUND = "status", "step", "found"
 _MICRO = timedelta(microseconds=1)
 # Slices of time in a bound, unless told otherwise.
 SLICES = 32
 # Slots per slice that the rows of a micro-batch are dealt out by.
 _SLOTS = 8
+# Outcomes that a state gives back in one row.
+_TOGETHER = 10_000
 
 
 def match_stream(
@@ -99,14 +104,8 @@ def match_stream(
     groups = [flat.schema[f"key{i}"] for i in range(len(keys))]
     leading = [flat.schema[c] for c in (_AT, _TIE, _FIRST, _SECOND, _SALT)]
     step = T.StructType([*leading, *groups, *kept])
-    out = T.StructType(
-        [
-            *groups,
-            T.StructField("first", kept),
-            T.StructField("second", kept),
-            T.StructField("status", T.StringType()),
-        ]
-    )
+    nexts = [T.StructField(f"next{i}", f.dataType) for i, f in enumerate(kept)]
+    out = T.StructType([*groups, *kept, *nexts, T.StructField(_STATUS, T.StringType())])
     # Times are whole microseconds, so a match may be at most this long.
     within = pattern.within // _MICRO
     longest = within if pattern.inclusive else within - 1
@@ -118,21 +117,26 @@ def match_stream(
         reduced = _settled(flat, names, kept, longest, max(1, wide // _SLOTS))
         settled = reduced.where(F.col(_STATUS).isNotNull())
         flat = reduced.where(F.col(_STATUS).isNull())
-    processor = FollowedBy(step, out, within, longest, buffered, wide)
-    found = (
+    processor = FollowedBy(step, within, longest, buffered, wide)
+    moment = [c for c in ("time",) if c in flat.columns]
+    # Packed behind the exchange: a micro-batch may come from few files.
+    states = (
         in_buckets(flat, [*names, _SALT])
+        .repartition(BUCKET)
+        .select(BUCKET, _packed(step.names), *moment)
         .groupBy(BUCKET)
-        .transformWithState(processor, out, outputMode="Append", timeMode="EventTime")
+        .transformWithStateInPandas(processor, f"{_FOUND} binary", outputMode="Append", timeMode="EventTime")
     )
+    found = _unpacked(states, out)
     if settled is not None:
-        second = F.struct(*[F.col(f"next{i}").alias(f"kept{i}") for i in range(len(keep))])
-        done = settled.select(
-            *names,
-            F.struct(*kept.names).alias("first"),
-            F.when(F.col(_STATUS) == MATCHED, second).alias("second"),
-            _STATUS,
-        )
-        found = found.unionByName(done)
+        found = found.unionByName(settled.select(*out.names))
+    second = F.struct(*[F.col(n.name).alias(k) for n, k in zip(nexts, kept.names)])
+    found = found.select(
+        *names,
+        F.struct(*kept.names).alias("first"),
+        F.when(F.col(_STATUS) == MATCHED, second).alias("second"),
+        _STATUS,
+    )
 
     def rows(name: str) -> Column:
         values = [typed(df, c, F.col(name)[f"kept{i}"]).alias(c) for i, c in enumerate(keep)]
@@ -146,6 +150,32 @@ def match_stream(
     )
 
 
+def _packed(names: Sequence[str]) -> Column:
+    """A step as one value: Spark hands every value of a row to a state, and takes it back,
+    one by one."""
+
+    @F.arrow_udf(T.BinaryType())
+    def pack(*columns: pa.Array) -> pa.Array:
+        steps = zip(*(c.to_pylist() for c in columns))
+        return pa.array([pickle.dumps(s, pickle.HIGHEST_PROTOCOL) for s in steps], pa.binary())
+
+    return pack(*names).alias(_STEP)
+
+
+def _unpacked(states: DataFrame, out: T.StructType) -> DataFrame:
+    """The outcomes in the values that states give back."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = to_arrow_schema(out)
+        for batch in batches:
+            for value in batch[_FOUND]:
+                columns = zip(*pickle.loads(value.as_py()))
+                arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    return states.mapInArrow(unpack, out)
+
+
 def _settled(
     flat: DataFrame, keys: list[str], kept: T.StructType, longest: int, slot: int
 ) -> DataFrame:
@@ -206,7 +236,8 @@ class FollowedBy(StatefulProcessor):
     """Steps of the keys of one bucket by slices of time: those waiting for the watermark, and
     open ones.
 
-    Steps are tuples (at, tie, first, second, salt, *keys, *kept). What one micro-batch adds to a
+    Steps are tuples (at, tie, first, second, salt, *keys, *kept), pickled one by one on the way in,
+    in chunks while they are held, and as outcomes (*keys, *kept, *next, status) on the way out. What one micro-batch adds to a
     slice is a chunk, an entry of a map of its own, so adding never reads what is there. A small
     index lists, for each slice, its chunks, whether it has second steps and whether it is open:
     then all its steps are first steps that have been taken and no second step has closed. One
@@ -218,20 +249,12 @@ class FollowedBy(StatefulProcessor):
     end by which all that could close them has been taken.
     """
 
-    def __init__(
-        self,
-        step: T.StructType,
-        out: T.StructType,
-        within: int,
-        longest: int,
-        buffered: bool,
-        wide: int,
-    ):
-        self.fields, self.result, self.buffered = step.names, Row(*out.names), buffered
-        self.within, self.longest, self.wide = within, longest, wide
+    def __init__(self, step: T.StructType, within: int, longest: int, buffered: bool, wide: int):
+        self.buffered, self.within, self.longest, self.wide = buffered, within, longest, wide
         self.kept = len(step) - sum(f.startswith("kept") for f in step.names)
+        self.unmatched = (None,) * (len(step) - self.kept)
         self.place = T.StructType([T.StructField("chunk", T.LongType())])
-        self.chunk = T.StructType([T.StructField("steps", T.ArrayType(step))])
+        self.chunk = T.StructType([T.StructField("steps", T.BinaryType())])
         entry = T.StructType(
             [
                 T.StructField("slice", T.LongType()),
@@ -253,13 +276,8 @@ class FollowedBy(StatefulProcessor):
         self.chunks = handle.getMapState("chunks", self.place, self.chunk)
         self.index = handle.getValueState("index", self.listed)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        steps, picked = [], None
-        for row in rows:
-            if picked is None:
-                names = row.__fields__
-                picked = itemgetter(*[names.index(f) for f in self.fields])
-            steps.append(picked(tuple(row)))
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        steps = [pickle.loads(step) for part in rows for step in part[_STEP]]
         index = _Index(self.index.get())
         if self.buffered:
             self._add(index, steps, False)
@@ -267,13 +285,13 @@ class FollowedBy(StatefulProcessor):
             # Every open step comes before them or among them.
             steps += self._drop(index, [k for k in index.slices if k[1]])
             still_open = []
-            yield from self._take(steps, still_open)
+            yield from _together(self._take(steps, still_open))
             self._add(index, still_open, True)
         else:
             self._add(index, steps, True)
         self._keep(index)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
         index = _Index(self.index.get())
         if index.timer == expiredTimerInfo.getExpiryTimeInMs():
@@ -284,14 +302,13 @@ class FollowedBy(StatefulProcessor):
             # Open steps of later slices cannot be closed by steps of these.
             taken = [k for k in index.slices if k[0] <= closing[-1]]
             still_open = []
-            yield from self._take(self._drop(index, taken), still_open)
+            yield from _together(self._take(self._drop(index, taken), still_open))
             self._add(index, still_open, True)
         for ready in due:
             if ready in index.slices:
                 self._open(index, ready[0], index.slices.pop(ready)[1])
         late = sorted(k for k in index.slices if k[1] and self._gone(k[0]) <= now)
-        for step in self._drop(index, late):
-            yield self._out(step)
+        yield from _together(map(self._out, self._drop(index, late)))
         self._keep(index)
 
     def close(self) -> None:
@@ -311,7 +328,7 @@ class FollowedBy(StatefulProcessor):
             by_slice.setdefault(step[0] // self.wide, []).append(step)
         for place, own in by_slice.items():
             chunk, index.next = index.next, index.next + 1
-            self.chunks.updateValue((chunk,), (own,))
+            self.chunks.updateValue((chunk,), (pickle.dumps(own, pickle.HIGHEST_PROTOCOL),))
             if is_open:
                 self._open(index, place, [chunk])
             else:
@@ -328,11 +345,11 @@ class FollowedBy(StatefulProcessor):
         steps = []
         for place in places:
             for chunk in index.slices.pop(place)[1]:
-                steps += map(tuple, self.chunks.getValue((chunk,))[0])
+                steps += pickle.loads(self.chunks.getValue((chunk,))[0])
                 self.chunks.removeKey((chunk,))
         return steps
 
-    def _take(self, steps: list, still_open: list) -> Iterator[Row]:
+    def _take(self, steps: list, still_open: list) -> Iterator[tuple]:
         """Let steps, in time order, close open first steps of their key or open new ones;
         ``still_open`` gets those that are left."""
         waiting: dict[tuple, list] = {}
@@ -346,11 +363,10 @@ class FollowedBy(StatefulProcessor):
         # A step held as open is a first step, whatever else it was.
         still_open += [(*s[:3], False, *s[4:]) for own in waiting.values() for s in own]
 
-    def _out(self, first: tuple, second: tuple | None = None) -> Row:
+    def _out(self, first: tuple, second: tuple | None = None) -> tuple:
         matched = second is not None and second[0] - first[0] <= self.longest
-        status = MATCHED if matched else TIMED_OUT
-        after = second[self.kept :] if matched else None
-        return self.result(*first[5 : self.kept], first[self.kept :], after, status)
+        after = second[self.kept :] if matched else self.unmatched
+        return *first[5:], *after, MATCHED if matched else TIMED_OUT
 
     def _keep(self, index: _Index) -> None:
         """Write the index, with a timer for the slice that is due next."""
@@ -376,6 +392,12 @@ class _Index:
         self.slices = {(e[0], e[1]): (e[2], list(e[3])) for e in entries}
 
 
+def _together(found: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+    """Outcomes, many to a row."""
+    for part in batched(found, _TOGETHER):
+        yield pd.DataFrame({_FOUND: [pickle.dumps(part, pickle.HIGHEST_PROTOCOL)]})
+
+
 def _in_order(step: tuple) -> tuple:
     # A null tie comes first, as Spark sorts it.
     return step[0], step[1] is not None, step[1]

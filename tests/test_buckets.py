@@ -115,3 +115,21 @@ def test_identity():
     assert identity((float("nan"), bytearray(b"x"), [1])) == identity((float("nan"), b"x", [1]))
     assert identity((0.0, None)) == identity((-0.0, None)) != identity((0.0, "NaN"))
     assert identity((float("nan"),)) != identity((1.0,))
+
+
+@pytest.mark.parametrize("buffered", [True, False])
+def test_steps_reach_a_state_as_one_value(spark, tmp_path, buffered):
+    """Spark hands every value of a row to a state one by one, so kept columns must cost nothing there."""
+    add_files(tmp_path / "in", wide(["create", "pay"]))
+    source = stream(spark, tmp_path / "in").select("*", *[F.lit(i).alias(f"more{i}") for i in range(20)])
+    keep = ["tie", "at", *[f"more{i}" for i in range(20)]]
+    found = match_stream(source, paying(), ["key"], "at", "tie", keep, buffered=buffered)
+    query = finish(write_outputs(found, str(tmp_path / "out"), str(tmp_path / "progress")))
+    plan = query._jsq.explainInternal(True).split("== Physical Plan ==")[1].splitlines()
+    at = next(i for i, line in enumerate(plan) if "TransformWithStateInPySpark" in line)
+    sent = next(line for line in plan[at + 1 :] if "Project [" in line)
+    # The bucket, the step, the time.
+    assert len(set(sent[sent.index("[") + 1 : sent.index("]")].split(", "))) <= 3
+    # They are packed behind an exchange, not by the few tasks that read the source.
+    packing = next(i for i, line in enumerate(plan) if "ArrowEvalPython [" in line)
+    assert at < packing and any("Exchange hashpartitioning(bucket" in line for line in plan[packing + 1 :])
