@@ -12,12 +12,13 @@ labels every text scores the share of toxic rows, 0 if there are none.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sequon.llm.common import kept
 from sequon.llm.ngrams import buckets, counts, letters
@@ -84,19 +85,40 @@ def learn(labelled: DataFrame, per_label: int = TRAIN_PER_LABEL) -> Classifier:
     )
     none = np.zeros(size, np.int64)
     ratio = _ratios({k: counted.get(k, none) for k in rows}, rows)
-    sent = known.sparkSession.sparkContext.broadcast(ratio != 0)
+    sample = _sampled(known, ratio != 0, per_label)
+    return Classifier(*_fit(ratio, list(sample["grams"]), sample["label"].to_numpy()))
 
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def chosen(texts: pa.Array) -> pa.Array:
-        own = (present(t.as_py()) for t in texts)
-        return pa.array((g[sent.value[g]].astype(np.int32) for g in own), pa.list_(pa.int32()))
 
-    hashed = known.select("label", F.xxhash64("text").alias("h"), chosen("text").alias("grams"))
+def _sampled(known: DataFrame, telling: np.ndarray, per_label: int) -> pd.DataFrame:
+    """The n-grams that say something in the texts to fit on, by label and hash.
+
+    Texts are chosen by hashes alone; only the chosen ones are taken apart, once a task.
+    """
+    hashed = known.withColumn("h", F.xxhash64("text"))
     # Equal texts say one thing once, so a group of copies does not take all places.
-    texts = kept(hashed.groupBy("label", "h").agg(F.min("grams").alias("grams")))
+    texts = hashed.select("label", "h").distinct()
     picked = [texts.where(F.col("label") == x).orderBy("h").limit(per_label) for x in (0, 1)]
-    sample = picked[0].union(picked[1]).select("label", "grams").toPandas()
-    return Classifier(*_fit(ratio, list(sample["grams"]), sample["label"].to_numpy()))
+    chosen = hashed.join(F.broadcast(kept(picked[0].union(picked[1]))), ["label", "h"])
+    sent = known.sparkSession.sparkContext.broadcast(telling)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            own = []
+            for label, h, text in zip(batch["label"], batch["h"], batch["text"]):
+                label, h = label.as_py(), h.as_py()
+                if (label, h) not in seen:
+                    seen.add((label, h))
+                    grams = present(text.as_py())
+                    own.append((label, h, grams[sent.value[grams]].astype(np.int32)))
+            if own:
+                kinds = (pa.int32(), pa.int64(), pa.list_(pa.int32()))
+                columns = [pa.array(c, k) for c, k in zip(zip(*own), kinds)]
+                yield pa.RecordBatch.from_arrays(columns, names=["label", "h", "grams"])
+
+    found = chosen.select("label", "h", "text").mapInArrow(run, "label int, h long, grams array<int>")
+    once = found.groupBy("label", "h").agg(F.min("grams").alias("grams"))
+    return once.toPandas().sort_values(["label", "h"])
 
 
 def score(spark: SparkSession, text: str | Column, classifier: Classifier) -> Column:

@@ -193,3 +193,21 @@ def test_toxicity_on_held_out_rows(spark):
     own = docs(spark, [bad(900), prose(901, 60), *ODD])
     scores = [r.s for r in own.select(toxicity.score(spark, "text", learned).alias("s")).collect()]
     assert scores[0] > 0.5 > scores[1] and all(0 <= s <= 1 for s in scores)
+
+
+def test_toxicity_takes_apart_chosen_texts_only(spark, monkeypatch):
+    """What is written and shuffled for the fit follows the texts chosen, not all labelled ones."""
+    texts = [f"word{i} some plain line {i % 7} of text" if i % 2 else f"vile{i} rotten insult {i % 5}" for i in range(400)]
+    rows = [(1 - i % 2, text) for i, text in enumerate(texts)] * 2 + [(0, None), (0, None), (None, "none")]
+    known = spark.createDataFrame(rows, "label int, text string").repartition(6)
+    written, keep = [], toxicity.kept
+    monkeypatch.setattr(toxicity, "kept", lambda df: written.append(keep(df)) or written[-1])
+    telling = np.ones(1 << toxicity.BITS, dtype=bool)
+    found = toxicity._sampled(known.where("label is not null"), telling, 5)
+    assert [df.columns for df in written] == [["label", "h"]] and written[0].count() == 10
+    distinct = known.where("label is not null").distinct().selectExpr("label", "xxhash64(text) h", "text")
+    expected = []
+    for label in (0, 1):
+        own = sorted((r.h, r.text) for r in distinct.collect() if r.label == label)[:5]
+        expected += [(label, h, list(toxicity.present(text))) for h, text in own]
+    assert [(r.label, r.h, list(r.grams)) for r in found.itertuples()] == expected
